@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from corvane.plans import text_search
+from functools import wraps
 
-MODULES = [text_search]
+from corvane.plans import record_linkage, text_search
+from corvane.session import ship_package
+
+MODULES = [text_search, record_linkage]
+
+
+def _shipped(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict:
-    return {name: q for module in MODULES for name, q in module.QUERIES.items()}
+    return {name: _shipped(q) for module in MODULES for name, q in module.QUERIES.items()}
 
 
 def oracles() -> dict[str, str]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +45,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that a lost executor costs no
-    recomputation and two consumers cost one run."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder as Parquet and read it back.
+
+    Several consumers then cost one run, a lost executor costs no recomputation, and the reader
+    still prunes columns and knows the size.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/corvane-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_corvane_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="corvane-"), "corvane"),
+                                  "zip", root, "corvane")
+    context.addPyFile(archive)
+    context._corvane_shipped = True
