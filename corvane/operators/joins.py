@@ -9,16 +9,20 @@ SALTS = 16
 
 
 def salted_lookup(big: DataFrame, small: DataFrame, on: list[str], spread: list[str],
-                  salts: int = SALTS) -> DataFrame:
-    """Inner join of a large skewed table with a lookup table that is unique on ``on``.
+                  salts: int = SALTS, how: str = "inner", flag: str | None = None) -> DataFrame:
+    """Join of a large skewed table with a lookup table, inner or left.
 
     One key of ``big`` is spread over ``salts`` reduce tasks by the hash of ``spread`` (a row
     key); ``small`` is repeated once per salt.  No size is assumed: adaptive execution turns the
-    join into a broadcast when the measured lookup side is small.
+    join into a broadcast when the measured lookup side is small.  ``flag`` names a column that
+    tells whether a row was found.
     """
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"]).drop("_salt")
+    if flag is not None:
+        repeated = repeated.withColumn(flag, F.lit(True))
+    joined = salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return joined if flag is None else joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def equi_match(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str,

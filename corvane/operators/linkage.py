@@ -57,9 +57,11 @@ def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
     The ``row_number() = 1`` filter is applied per task before the shuffle, so a key that holds a
     third of the table arrives as one row per task.
     """
-    ranked = df.filter(F.col(key).isNotNull()).withColumn(
-        "_rn", F.row_number().over(W.partitionBy(key).orderBy(order)))
-    return ranked.filter(F.col("_rn") == 1).drop("_rn").unionByName(df.filter(F.col(key).isNull()))
+    # a row without a key is a group of its own
+    alone = F.when(F.col(key).isNull(), F.col(order))
+    ranked = df.withColumn("_alone", alone).withColumn(
+        "_rn", F.row_number().over(W.partitionBy(key, "_alone").orderBy(order)))
+    return ranked.filter(F.col("_rn") == 1).drop("_rn", "_alone")
 
 
 def keep_first_by_chunk(df: DataFrame, key: str, ordinal: str, chunk_rows: int = 1000) -> DataFrame:
