@@ -95,8 +95,8 @@ def field_query_clauses(queries: DataFrame, text: str = "query",
 
 def explode_clauses(queries: DataFrame) -> DataFrame:
     """query_id, clause, field, text of every clause."""
-    return (queries.select("query_id", F.posexplode("clauses").alias("clause", "c"))
-            .select("query_id", "clause", "c.field", "c.text"))
+    return (queries.select("query_id", F.posexplode_outer("clauses").alias("clause", "c"))
+            .filter(F.col("c").isNotNull()).select("query_id", "clause", "c.field", "c.text"))
 
 
 def with_ids(queries: DataFrame, *keys: str) -> DataFrame:

@@ -189,7 +189,8 @@ def block_sizes(a: DataFrame, b: DataFrame, nan_text: bool = False) -> DataFrame
     """
     def sizes(df: DataFrame, out: str) -> DataFrame:
         keys = loose_keys(F.col("manufacturer"), F.col("model"), F.col("year"), nan_text)
-        return (df.select(F.explode(keys).alias("block_key")).groupBy("block_key")
+        return (df.select(F.explode_outer(keys).alias("block_key"))
+                .filter(F.col("block_key").isNotNull()).groupBy("block_key")
                 .agg(F.count(F.lit(1)).alias(out)))
 
     return (sizes(a, "n_left").join(sizes(b, "n_right"), "block_key")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import cleaning
 from corvane.functions.analysis import ENGLISH_STOP_WORDS
+from corvane.functions.binding import let
 from corvane.operators.joins import salted_lookup
 from corvane.operators.linkage import LABEL, LEFT, RIGHT
 
@@ -74,10 +75,13 @@ def parse_side(side: Column) -> Column:
     names = F.regexp_extract_all(text, F.lit(SEGMENT), F.lit(1))
     values = F.transform(F.regexp_extract_all(text, F.lit(SEGMENT), F.lit(2)), lambda v: F.ltrim(v))
     pairs = F.arrays_zip(names.alias("attr"), values.alias("val"))
-    last = F.transform(F.array_distinct(names), lambda n: F.struct(
-        n.alias("attr"),
-        F.element_at(F.filter(pairs, lambda p: p["attr"] == n), -1)["val"].alias("val")))
-    return F.when(text.rlike(VALID_SIDE), last)
+
+    def last_values(found: Column) -> Column:
+        return F.transform(F.array_distinct(found["attr"]), lambda n: F.struct(
+            n.alias("attr"),
+            F.element_at(F.filter(found, lambda p: p["attr"] == n), -1)["val"].alias("val")))
+
+    return F.when(text.rlike(VALID_SIDE), let(pairs, last_values))
 
 
 def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
@@ -103,8 +107,8 @@ def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
 
 def attribute_order(parsed: DataFrame, order: str) -> DataFrame:
     """Distinct attribute names in order of first appearance over all lines."""
-    seen = parsed.select(order, F.posexplode("attrs").alias("pos", "a"))
-    return (seen.groupBy(F.col("a.attr").alias("attr"))
+    seen = parsed.select(order, F.posexplode_outer("attrs").alias("pos", "a"))
+    return (seen.filter(F.col("a").isNotNull()).groupBy(F.col("a.attr").alias("attr"))
             .agg(F.min(F.struct(order, "pos")).alias("first_seen")))
 
 

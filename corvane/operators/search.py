@@ -127,7 +127,7 @@ def query_terms(clauses: DataFrame, analyzers: dict[str, str]) -> DataFrame:
         analysed = ANALYZERS[analyzer](F.col("text"))
         tokens = F.when(F.col("field") == name, analysed) if tokens is None else \
             tokens.when(F.col("field") == name, analysed)
-    return (clauses.withColumn("term", F.explode(tokens))
+    return (clauses.withColumn("term", F.explode_outer(tokens)).filter(F.col("term").isNotNull())
             .groupBy("query_id", "clause", "field", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
 
@@ -214,7 +214,8 @@ def phrase_matches(index: Index, phrases: DataFrame, analyzers: dict[str, str])
             tokens.when(F.col("field") == name, analysed)
     places = (phrases.withColumn("tokens", tokens)
               .select("query_id", "clause", "field", F.size("tokens").alias("n"),
-                      F.posexplode("tokens").alias("offset", "term")))
+                      F.posexplode_outer("tokens").alias("offset", "term"))
+              .filter(F.col("term").isNotNull()))
     asked = places.select("field", "term").distinct()
     known = (index.counts().join(asked, ["field", "term"], "left_semi")
              .groupBy("field", "term")

@@ -209,7 +209,7 @@ def complete_papers(spark, sf_dir):
 
 def incremental_ingest(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    seen = events.filter("event_type = 'error' AND value >= 25").select("user_id")
+    seen = events.filter("event_type = 'error' AND value >= 150").select("user_id")
     first = ingest.first_of_batch(events.select("user_id", "event_id", "event_type"), "user_id", "event_id")
     return joins.unseen(first, seen, "user_id")
 
@@ -365,7 +365,7 @@ ORACLES = {
         AND doc_id IN (SELECT conv_id FROM conversations)""",
     "incremental_ingest": """SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id)
         AS event_type FROM events WHERE user_id NOT IN (SELECT user_id FROM events
-        WHERE event_type = 'error' AND value >= 25) GROUP BY user_id""",
+        WHERE event_type = 'error' AND value >= 150) GROUP BY user_id""",
     "stage_durations": """SELECT CAST(l_linenumber AS BIGINT) AS stage,
         CAST(sum(l_linenumber * 3661) AS BIGINT) AS seconds FROM lineitem GROUP BY 1""",
     "canonical_lines": f"""SELECT doc_id, {_strip(sql.TITLE)} || chr(9) || lang || chr(9) || '1' AS line

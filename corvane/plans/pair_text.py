@@ -150,7 +150,7 @@ def dictionary_scores(spark, sf_dir):
     scores = quality.dictionary_scores(table(spark, sf_dir, "documents"), "doc_id", F.col("text"),
                                        _frequencies(spark, sf_dir))
     return scores.select("id", "n_words", F.round("hit_rate", 6).alias("hit_rate"),
-                         F.round("mean_zipf", 6).alias("mean_zipf"))
+                         F.round(F.col("mean_zipf") * F.col("n_words"), 2).alias("total_zipf"))
 
 
 def auto_thresholds(spark, sf_dir):
@@ -450,7 +450,7 @@ ORACLES = {
         regexp_matches(text, '[\x00-\x1F\x7F]') AS control FROM documents""",
     "word_frequency": f"WITH {_FREQ} SELECT word, zipf FROM fq",
     "dictionary_scores": f"""WITH {_dict('documents', 'doc_id', 'text')} SELECT id, CAST(n_words AS BIGINT) AS n_words,
-        round(hit_rate, 6) AS hit_rate, round(mean_zipf, 6) AS mean_zipf FROM ds""",
+        round(hit_rate, 6) AS hit_rate, round(mean_zipf * n_words, 2) AS total_zipf FROM ds""",
     "auto_thresholds": f"""WITH {_features("coalesce(label = '1', false)")}, {_cuts(2.0)}
         SELECT max_length, max_dup_ngrams, round(min_tfidf * 1e6, 4) AS min_tfidf_ppm,
                round(min_dict_hit_rate, 6) AS min_dict_hit_rate, round(min_zipf, 6) AS min_zipf FROM cut""",
