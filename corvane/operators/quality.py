@@ -142,22 +142,22 @@ class Thresholds:
 def line_features(lines: DataFrame, id_col: str, frequencies: DataFrame, options: Thresholds,
                   column: str = "line") -> DataFrame:
     """Narrow table of per-line measures; the line text is not carried along."""
-    line = F.col("_line")
-    canon = lines.select(F.col(id_col).alias("id"), cleaning.canonical_line(F.col(column)).alias("_line"))
-    label = F.trim(split_line(line, 3))
+    line, text, label = F.col("_line"), F.col("_text"), F.col("label")
+    canon = (lines.select(F.col(id_col).alias("id"), cleaning.canonical_line(F.col(column)).alias("_line"))
+             .withColumn("_text", full_text(line)).withColumn("label", F.trim(split_line(line, 3))))
     in_scope = label.isNotNull() & ((label == "1") | F.lit(not options.only_label_1))
-    basic = with_repetition(canon, full_text(line), NGRAM, "repetition")
-    lengths = value_lengths(line)
+    basic = with_repetition(canon, text, NGRAM, "repetition").withColumn("_lengths", value_lengths(line))
+    lengths = F.col("_lengths")
     basic = basic.select(
-        "id", "repetition", label.alias("label"), in_scope.alias("in_scope"),
+        "id", "repetition", "label", in_scope.alias("in_scope"),
         F.coalesce(F.array_max(lengths), F.lit(0)).alias("longest"),
         F.size(lengths).cast("long").alias("n_values"),
         F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("length_sum"),
         F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x * x).alias("length_sq"),
-        full_text(line).rlike(CONTROL).alias("control"),
-        unbalanced_brackets(full_text(line)).alias("unbalanced"), F.md5(line).alias("line_md5"))
-    words = dictionary_scores(canon, "id", full_text(line), frequencies)
-    tfidf = tfidf_means(canon, "id", full_text(line), F.coalesce(in_scope, F.lit(False)))
+        text.rlike(CONTROL).alias("control"), unbalanced_brackets(text).alias("unbalanced"),
+        F.md5(line).alias("line_md5"))
+    words = dictionary_scores(canon, "id", text, frequencies)
+    tfidf = tfidf_means(canon, "id", text, F.coalesce(in_scope, F.lit(False)))
     return basic.join(words, "id").join(tfidf, "id")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corvane.functions import cleaning
 from corvane.operators import extraction, joins
 from corvane.plans import sqltext as sql
-from corvane.plans.tables import papers, table
+from corvane.plans.tables import papers, spread_table, table
 from corvane.session import materialise
 from corvane.sinks import writers
 from corvane.sources import feeds
@@ -15,21 +15,21 @@ from corvane.streaming import ingest
 
 
 def tag_strip(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", cleaning.strip_tags(F.col("html")).alias("text"))
+    return spread_table(spark, sf_dir, "pages", "page_id").select("page_id", cleaning.strip_tags(F.col("html")).alias("text"))
 
 
 def html_paragraphs(spark, sf_dir):
-    return extraction.flat_elements(table(spark, sf_dir, "pages"), "p", "page_id", "html")
+    return extraction.flat_elements(spread_table(spark, sf_dir, "pages", "page_id"), "p", "page_id", "html")
 
 
 def page_title(spark, sf_dir):
     title = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages", "page_id").select(
         "page_id", F.coalesce(F.nullif(cleaning.strip_tags(title), F.lit("")), F.lit("N/A")).alias("title"))
 
 
 def html_links(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select(
+    pages = spread_table(spark, sf_dir, "pages", "page_id").select(
         F.col("page_id").cast("string").alias("paper_id"), F.lit("page").alias("paragraph_id"),
         F.lit(1).alias("ordinal"), F.col("html").alias("text"))
     return extraction.html_references(pages, None).select(
@@ -38,7 +38,7 @@ def html_links(spark, sf_dir):
 
 def _page_objects(spark, sf_dir):
     every_p = lambda root, paper: extraction.html_paragraphs(root, paper, None)
-    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("markup")) \
+    pages = spread_table(spark, sf_dir, "pages", "page_id").select("page_id", F.col("html").alias("markup")) \
         .withColumnRenamed("page_id", "paper_id")
     return extraction.extract_objects(pages, "html", {"paragraph": every_p})
 
@@ -155,11 +155,11 @@ def title_section_extract(spark, sf_dir):
 
 
 def clean_text_strict(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", cleaning.strict_clean(F.col("text")).alias("text"))
+    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", cleaning.strict_clean(F.col("text")).alias("text"))
 
 
 def clean_text_loose(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", cleaning.loose_clean(F.col("text")).alias("text"))
+    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", cleaning.loose_clean(F.col("text")).alias("text"))
 
 
 def count_by_year(spark, sf_dir):

@@ -8,7 +8,7 @@ from corvane.operators import augment, pairtext, quality
 from corvane.operators.linkage import LABEL, LEFT, RIGHT
 from corvane.plans import sqltext as sql
 from corvane.plans.record_linkage import raw_a, raw_b
-from corvane.plans.tables import papers, table
+from corvane.plans.tables import papers, spread_table, table
 from corvane.session import materialise
 
 
@@ -116,12 +116,12 @@ def tfidf_idf(spark, sf_dir):
 
 
 def tfidf_mean(spark, sf_dir):
-    means = quality.tfidf_means(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
+    means = quality.tfidf_means(spread_table(spark, sf_dir, "documents", "doc_id"), "doc_id", F.col("text"))
     return means.select("id", F.round(F.col("tfidf") * 1e6, 4).alias("tfidf_ppm"))
 
 
 def ngram_repetition(spark, sf_dir):
-    return quality.with_repetition(table(spark, sf_dir, "documents").select("doc_id", "text"),
+    return quality.with_repetition(spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text"),
                                    F.col("text"), quality.NGRAM, "repetition").drop("text")
 
 
@@ -133,7 +133,7 @@ def value_lengths(spark, sf_dir):
 
 
 def bracket_balance(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", quality.unbalanced_brackets(F.col("text")).alias("unbalanced"),
         F.col("text").rlike(quality.CONTROL).alias("control"))
 
@@ -147,7 +147,7 @@ def word_frequency(spark, sf_dir):
 
 
 def dictionary_scores(spark, sf_dir):
-    scores = quality.dictionary_scores(table(spark, sf_dir, "documents"), "doc_id", F.col("text"),
+    scores = quality.dictionary_scores(spread_table(spark, sf_dir, "documents", "doc_id"), "doc_id", F.col("text"),
                                        _frequencies(spark, sf_dir))
     return scores.select("id", "n_words", F.round("hit_rate", 6).alias("hit_rate"),
                          F.round(F.col("mean_zipf") * F.col("n_words"), 2).alias("total_zipf"))
@@ -186,7 +186,8 @@ def _augment(op):
 
 
 def synthetic_fanout(spark, sf_dir):
-    made = augment.synthetic_pairs(_parsed(spark, sf_dir).filter("label = 1"), "p_partkey", 2)
+    parsed = materialise(_parsed(spark, sf_dir).select("p_partkey", "label", "attrs"))
+    made = augment.synthetic_pairs(parsed.filter("label = 1"), "p_partkey", 2)
     return made.select("id", "parent", F.col("generation").cast("long").alias("generation"),
                        pairtext.join_attrs(F.col("attrs"), F.col("label")).alias("line"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corvane.functions import cleaning, similarity
 from corvane.operators import joins, linkage, ordinals, vectors
 from corvane.plans import sqltext as sql
-from corvane.plans.tables import table
+from corvane.plans.tables import spread_table, table
 from corvane.session import materialise
 
 LEFT, RIGHT, LABEL = linkage.LEFT, linkage.RIGHT, linkage.LABEL
@@ -16,7 +16,7 @@ LEFT, RIGHT, LABEL = linkage.LEFT, linkage.RIGHT, linkage.LABEL
 def raw_a(spark, sf_dir):
     """Parts as the first listing; some VINs missing, some shared, some colours blank."""
     k = F.col("p_partkey")
-    return table(spark, sf_dir, "part").select(
+    return spread_table(spark, sf_dir, "part", "p_partkey").select(
         k,
         F.when(k % 19 == 0, None).when(k % 23 == 0, F.md5(F.lit("hot")))
         .otherwise(F.md5(k.cast("string"))).alias("vin"),
@@ -37,7 +37,7 @@ def raw_b(spark, sf_dir):
     at = (F.lit(1) + k % F.length("p_name")).cast("int")
     typo = F.concat(F.expr("substring(p_name, 1, cast(p_partkey % length(p_name) as int))"),
                     F.substring(F.col("p_name"), at + 1, F.lit(100)))
-    return table(spark, sf_dir, "part").select(
+    return spread_table(spark, sf_dir, "part", "p_partkey").select(
         k,
         F.when(k % 13 == 0, None).when(k % 29 == 0, F.md5(F.lit("hot")))
         .otherwise(F.md5(k.cast("string"))).alias("VIN"),

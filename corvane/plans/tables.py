@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table for CPU-heavy work, over all cores also when it is one small file."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as papers: title is the first line, abstract the rest."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_table(spark, sf_dir, "documents", "doc_id")
     title = F.substring_index("text", "\n", 1)
     return docs.select("doc_id", "lang", "source", "text", title.alias("title"),
                        F.expr("substring(text, length(substring_index(text, '\n', 1)) + 2)")

@@ -56,6 +56,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for CPU-heavy work on a small table.
+
+    A table with fewer splits than there are cores is hashed over the cores.  Larger tables
+    already have enough splits and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application."""
     context = spark.sparkContext
