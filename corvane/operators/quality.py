@@ -16,7 +16,7 @@ NGRAM = 3            # n-gram size of the repetition statistic
 VOCABULARY = 10_000  # size of the TF-IDF vocabulary, a fixed value: its table may be broadcast
 MIN_DF = 2
 REST_OF_SIDE = r"COL\s+(.+?)\s+VAL\s+([^\t]+)"
-ONE_VALUE = r"COL\s+(\S+)\s+VAL\s+((?:(?!\sCOL\s)[^\t])+)"
+ONE_VALUE = r"COL\s+(.+?)\s+VAL\s+((?:(?!\sCOL\s)[^\t])+)"
 CONTROL = r"[\x00-\x1F\x7F]"
 
 
