@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import cleaning, similarity
 from corvane.operators import ordinals
-from corvane.operators.joins import zip_rows
+from corvane.operators.joins import salted_lookup, zip_rows
 
 # Source column -> aligned column, one mapping per listing.
 LISTING_A = {
@@ -69,7 +69,8 @@ def keep_first_by_chunk(df: DataFrame, key: str, ordinal: str, chunk_rows: int =
     chunked = df.withColumn("_chunk", F.floor(F.col(ordinal) / chunk_rows))
     first = (chunked.filter(F.col(key).isNotNull()).groupBy(key)
              .agg(F.min("_chunk").alias("_first")))
-    known = chunked.join(first, key).filter(F.col("_chunk") == F.col("_first")).select(*df.columns)
+    known = (salted_lookup(chunked, first, [key], [ordinal])
+             .filter(F.col("_chunk") == F.col("_first")).select(*df.columns))
     return known.unionByName(df.filter(F.col(key).isNull()))
 
 

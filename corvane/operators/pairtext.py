@@ -60,6 +60,11 @@ def scorer_line(left: Column, right: Column) -> Column:
     return F.concat(serialise_map(left), F.lit("\t"), serialise_map(right), F.lit("\t0"))
 
 
+def sides_as_json(line: Column) -> Column:
+    """The first two fields of a line as a JSON array, the input of the pair scorer."""
+    return F.to_json(F.slice(F.split(line, "\t"), 1, 2))
+
+
 # --- reading ---------------------------------------------------------------------------------
 def split_line(line: Column, part: int) -> Column:
     """Part 1, 2 or 3 of a line cut at its last two tabs; null without two tabs."""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions import cleaning
+from corvane.functions.binding import occurrence_runs, token_counts
 from corvane.operators.joins import salted_lookup
 from corvane.operators.pairtext import VOCAB_PATTERN, split_line
 from corvane.session import materialise
@@ -48,15 +49,11 @@ def ngrams(text: Column, n: int) -> Column:
     return F.transform(whole, lambda z: F.concat_ws(" ", *[z[str(i)] for i in range(n)]))
 
 
-def with_repetition(df: DataFrame, text: Column, n: int, out: str) -> DataFrame:
-    """Add how often the most frequent n-gram of a text occurs (0 without any).  Counted inside
-    the row: n-grams are sorted and the longest run is measured."""
-    sorted_grams = df.withColumn("_g", F.sort_array(ngrams(text, n)))
-    starts = F.filter(F.when(F.size("_g") > 0, F.sequence(F.lit(0), F.size("_g") - 1)),
-                      lambda i: (i == 0) | (F.get("_g", i) != F.get("_g", i - 1)))
-    marked = sorted_grams.withColumn("_at", starts)
-    runs = F.transform("_at", lambda s, j: F.coalesce(F.get("_at", j + 1), F.size("_g")) - s)
-    return marked.withColumn(out, F.coalesce(F.array_max(runs), F.lit(0)).cast("long")).drop("_g", "_at")
+def repetition(text: Column, n: int) -> Column:
+    """How often the most frequent n-gram of a text occurs (0 without any), counted inside the
+    row."""
+    runs = occurrence_runs(F.sort_array(ngrams(text, n)), lambda x: x, lambda items, at, size: size)
+    return F.coalesce(F.array_max(runs), F.lit(0)).cast("long")
 
 
 def repeats_ngram(lines: DataFrame, id_col: str, n: Column, column: str = "line") -> DataFrame:
@@ -88,8 +85,8 @@ def word_frequencies(texts: DataFrame, column: str) -> DataFrame:
 def dictionary_scores(texts: DataFrame, id_col: str, text: Column, frequencies: DataFrame) -> DataFrame:
     """id, n_words, hit_rate (1 without words), mean_zipf (0 without words)."""
     words = texts.select(F.col(id_col).alias("id"), alphabetic(text).alias("w"))
-    counted = (words.select("id", F.explode_outer("w").alias("word")).filter(F.col("word").isNotNull())
-               .groupBy("id", "word").agg(F.count(F.lit(1)).alias("n")))
+    counted = (words.select("id", F.inline_outer(token_counts(F.col("w")))).filter(F.col("term").isNotNull())
+               .select("id", F.col("term").alias("word"), F.col("tf").alias("n")))
     found = (salted_lookup(counted, frequencies.filter("zipf > 0"), ["word"], ["id"])
              .groupBy("id").agg(F.sum("n").alias("hits"), F.sum(F.col("n") * F.col("zipf")).alias("z")))
     sizes = words.select("id", F.size("w").cast("long").alias("n_words"))
@@ -109,9 +106,8 @@ def tfidf_means(texts: DataFrame, id_col: str, text: Column, fit_on: Column | No
     """
     rows = texts.select(F.col(id_col).alias("id"), (fit_on if fit_on is not None else F.lit(True)).alias("fit"),
                         F.regexp_extract_all(F.lower(text), F.lit(VOCAB_PATTERN), F.lit(0)).alias("w"))
-    counted = (rows.select("id", "fit", F.explode_outer("w").alias("word"))
-               .filter(F.col("word").isNotNull())
-               .groupBy("id", "fit", "word").agg(F.count(F.lit(1)).alias("tf")))
+    counted = (rows.select("id", "fit", F.inline_outer(token_counts(F.col("w"))))
+               .filter(F.col("term").isNotNull()).withColumnRenamed("term", "word"))
     n = rows.agg(F.count_if("fit")).scalar()
     vocabulary = (counted.filter("fit").groupBy("word")
                   .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
@@ -146,7 +142,8 @@ def line_features(lines: DataFrame, id_col: str, frequencies: DataFrame, options
     canon = (lines.select(F.col(id_col).alias("id"), cleaning.canonical_line(F.col(column)).alias("_line"))
              .withColumn("_text", full_text(line)).withColumn("label", F.trim(split_line(line, 3))))
     in_scope = label.isNotNull() & ((label == "1") | F.lit(not options.only_label_1))
-    basic = with_repetition(canon, text, NGRAM, "repetition").withColumn("_lengths", value_lengths(line))
+    basic = (canon.withColumn("repetition", repetition(text, NGRAM))
+             .withColumn("_lengths", value_lengths(line)))
     lengths = F.col("_lengths")
     basic = basic.select(
         "id", "repetition", "label", in_scope.alias("in_scope"),

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corvane.functions.analysis import ANALYZERS
+from corvane.functions.binding import token_counts, token_places
 from corvane.operators.joins import salted_lookup
 
 K1 = 1.2
@@ -56,43 +57,19 @@ class Index:
     def counts(self) -> DataFrame:
         """One row per distinct term of a document: field, doc_id, dl, term, tf.
 
-        A document is one input row, so its terms are counted inside that row: the tokens are
-        sorted and cut where the term changes.  No shuffle.
+        A document is one input row, so its terms are counted inside that row, without a shuffle.
         """
-        cut = _with_runs(self.tokens(), F.sort_array("tokens"), lambda x: x)
-        runs = F.transform("_at", lambda i, j: F.struct(
-            F.get("_s", i).alias("term"), _run_length(i, j).alias("tf")))
-        return (cut.select("field", "doc_id", "dl", runs.alias("runs"))
-                .select("field", "doc_id", "dl", F.inline_outer("runs")))
+        return self._inlined(token_counts(F.col("tokens")))
 
     def postings(self) -> DataFrame:
         """Full inverted index with positions: field, doc_id, dl, term, tf, positions."""
-        placed = F.sort_array(F.transform(
-            "tokens", lambda t, i: F.struct(t.alias("t"), i.alias("p"))))
-        cut = _with_runs(self.tokens(), placed, lambda x: x["t"])
-        runs = F.transform("_at", lambda i, j: F.struct(
-            F.get("_s", i)["t"].alias("term"), _run_length(i, j).alias("tf"),
-            F.transform(F.slice("_s", i + 1, _run_length(i, j)), lambda x: x["p"])
-            .alias("positions")))
-        return (cut.select("field", "doc_id", "dl", runs.alias("runs"))
-                .select("field", "doc_id", "dl", F.inline_outer("runs")))
-
-
-def _with_runs(tokens: DataFrame, ordered: Column, term) -> DataFrame:
-    """Add the sorted tokens ``_s`` and the start ``_at`` of every run of one term.
-
-    Consumers use the outer generators: the plain ones push a size test below this projection,
-    which would repeat the sort inside the lambda.
-    """
-    placed = tokens.select("field", "doc_id", F.size("tokens").cast("long").alias("dl"),
-                           ordered.alias("_s")).filter(F.col("dl") > 0)
-    return placed.withColumn("_at", F.filter(
-        F.sequence(F.lit(0), F.size("_s") - 1),
-        lambda i: (i == 0) | (term(F.get("_s", i)) != term(F.get("_s", i - 1)))))
-
+        return self._inlined(token_places(F.col("tokens")))
 
-def _run_length(start: Column, run: Column) -> Column:
-    return F.coalesce(F.get("_at", run + 1), F.size("_s")) - start
+    def _inlined(self, runs: Column) -> DataFrame:
+        # the outer generator adds no size test that would compute the runs twice
+        return (self.tokens()
+                .select("field", "doc_id", F.size("tokens").cast("long").alias("dl"), F.inline_outer(runs))
+                .filter(F.col("term").isNotNull()))
 
 
 def write_postings(table: DataFrame, path: str, files: int, mode: str = "overwrite") -> None:
@@ -105,9 +82,7 @@ def write_postings(table: DataFrame, path: str, files: int, mode: str = "overwri
 
 def term_frequencies(index: Index) -> DataFrame:
     """Document frequency and total occurrences of every term."""
-    per_doc = (index.occurrences().groupBy("field", "term", "doc_id")
-               .agg(F.count(F.lit(1)).alias("tf")))
-    return per_doc.groupBy("field", "term").agg(
+    return index.counts().groupBy("field", "term").agg(
         F.count(F.lit(1)).alias("doc_freq"), F.sum("tf").alias("total_freq"))
 
 
@@ -215,7 +190,8 @@ def phrase_matches(index: Index, phrases: DataFrame, analyzers: dict[str, str])
               .select("query_id", "clause", "field", F.size("tokens").alias("n"),
                       F.posexplode_outer("tokens").alias("offset", "term"))
               .filter(F.col("term").isNotNull()))
-    asked = places.select("field", "term").distinct()
+    sent = F.broadcast if few_rows(places) else (lambda df: df)
+    asked = sent(places.select("field", "term").distinct())
     known = (index.counts().join(asked, ["field", "term"], "left_semi")
              .groupBy("field", "term")
              .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("freq")))
@@ -227,14 +203,15 @@ def phrase_matches(index: Index, phrases: DataFrame, analyzers: dict[str, str])
                .filter(F.col("n_known") == F.col("n")))
     anchors = weights.select("query_id", "clause", "field", F.col("anchor.term").alias("term"),
                              F.col("anchor.offset").alias("anchor_offset"))
-    starts = (index.occurrences().join(anchors, ["field", "term"])
+    starts = (index.occurrences().join(sent(anchors), ["field", "term"])
               .select("query_id", "clause", "field", "doc_id", "dl",
                       (F.col("pos") - F.col("anchor_offset")).alias("start"))
               .filter(F.col("start") >= 0))
     expected = (starts.join(places, ["query_id", "clause", "field"])
                 .withColumn("pos", F.col("start") + F.col("offset")))
     holders = starts.select("field", "doc_id").distinct()
-    seen = (index.occurrences().join(holders, ["field", "doc_id"], "left_semi")
+    seen = (index.occurrences().join(asked, ["field", "term"], "left_semi")
+            .join(holders, ["field", "doc_id"], "left_semi")
             .select("field", "doc_id", "pos", "term"))
     found = expected.join(seen, ["field", "doc_id", "pos", "term"])
     whole = (found.groupBy("query_id", "clause", "field", "doc_id", "dl", "start", "n")
@@ -266,3 +243,23 @@ def load_report(lengths: DataFrame) -> DataFrame:
         F.count_if(ok).alias("succeeded"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("failed"),
         F.sum("dl").alias("total_tokens"),
         F.round(F.sum("dl") / F.greatest(F.count_if(ok), F.lit(1)), 6).alias("mean_tokens"))
+
+
+# What a result card shows per index, as (label, column).
+CARDS = {
+    "research_papers": (("title", "title"), ("authors", "authors"), ("published", "published"), ("link", "link")),
+    "figures": (("figure_id", "figure_id"), ("caption", "caption"), ("link", "url")),
+    "tables": (("table_id", "table_id"), ("caption", "caption"), ("link", "table_url")),
+}
+MISSING = "N/A"
+
+
+def result_cards(hits: DataFrame, docs: DataFrame, kind: str, id_col: str = "doc_id") -> DataFrame:
+    """Ranked hits with the columns shown for their index; absent values read ``N/A``."""
+    def shown(column: str) -> Column:
+        c = F.col(column)
+        text = F.array_join(c, ", ") if dict(docs.dtypes)[column].startswith("array") else c.cast("string")
+        return F.coalesce(text, F.lit(MISSING))
+
+    cards = docs.select(id_col, *[shown(c).alias(name) for name, c in CARDS[kind] if c in docs.columns])
+    return hits.join(cards, id_col)

@@ -39,6 +39,10 @@ def json_pair(spark, sf_dir):
     return p.select("p_partkey", pairtext.json_pair(p.drop("p_partkey")).alias("pair"))
 
 
+def json_sides(spark, sf_dir):
+    return _lines(spark, sf_dir).select("p_partkey", pairtext.sides_as_json(F.col("line")).alias("pair"))
+
+
 def scorer_line(spark, sf_dir):
     p = pairs(spark, sf_dir)
     side = lambda s: F.create_map(F.lit("model"), F.col("model" + s), F.lit("price"), F.col("price" + s))
@@ -121,8 +125,8 @@ def tfidf_mean(spark, sf_dir):
 
 
 def ngram_repetition(spark, sf_dir):
-    return quality.with_repetition(spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text"),
-                                   F.col("text"), quality.NGRAM, "repetition").drop("text")
+    docs = spread_table(spark, sf_dir, "documents", "doc_id")
+    return docs.select("doc_id", quality.repetition(F.col("text"), quality.NGRAM).alias("repetition"))
 
 
 def value_lengths(spark, sf_dir):
@@ -193,7 +197,7 @@ def synthetic_fanout(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    serialise_pair, json_pair, scorer_line, parse_pair, reserialise_pair, attribute_union,
+    serialise_pair, json_pair, json_sides, scorer_line, parse_pair, reserialise_pair, attribute_union,
     inject_knowledge, normalise_numbers, tag_ids, tfidf_summary, tfidf_idf, tfidf_mean,
     ngram_repetition, value_lengths, bracket_balance, word_frequency, dictionary_scores,
     auto_thresholds, quality_filter, *[_augment(op) for op in (*augment.STEPS, "all")],
@@ -386,6 +390,7 @@ _FANOUT = f"""{_RAW}, g0 AS (SELECT CAST(p_partkey AS VARCHAR) AS id, {', '.join
 ORACLES = {
     "serialise_pair": f"WITH {_LINE} SELECT p_partkey, line FROM line",
     "json_pair": f"WITH {_RAW} SELECT p_partkey, '[' || {_json('l')} || ',' || {_json('r')} || ']' AS pair FROM raw",
+    "json_sides": f"""WITH {_LINE} SELECT p_partkey, '["' || l || '","' || r || '"]' AS pair FROM line""",
     "scorer_line": f"""WITH {_RAW} SELECT p_partkey, 'COL model VAL ' || lm || ' COL price VAL ' || lp || ' ' || chr(9)
         || 'COL model VAL ' || rm || ' COL price VAL ' || rp || ' ' || chr(9) || '0' AS line FROM raw""",
     "parse_pair": f"""WITH {_RAW}, s AS (SELECT p_partkey, p_partkey % 10 AS m, label, {_shown('l')} AS l,

@@ -78,7 +78,7 @@ def search_field_and(spark, sf_dir):
 
 def search_english(spark, sf_dir):
     fields = {"text": "english"}
-    index = search.Index(papers(spark, sf_dir).filter("lang = 'en'"), fields)
+    index = search.Index(papers(spark, sf_dir), fields)
     terms = search.query_terms(passages(spark, sf_dir, "text"), fields)
     return search.top_hits(search.clause_scores(index, terms))
 
@@ -90,12 +90,12 @@ def search_keyword(spark, sf_dir):
 
 
 def result_cards(spark, sf_dir):
-    hits = _bm25(spark, sf_dir)
-    cards = papers(spark, sf_dir).select(
-        "doc_id", F.coalesce(F.nullif("title", F.lit("")), F.lit("N/A")).alias("title"),
-        F.coalesce(F.nullif("source", F.lit("")), F.lit("N/A")).alias("link"),
-        F.substring("abstract", 1, 200).alias("snippet"))
-    return hits.select("query_id", "rank", "doc_id").join(cards, "doc_id")
+    docs = papers(spark, sf_dir).select(
+        "doc_id", F.nullif("title", F.lit("")).alias("title"), F.array("source", "lang").alias("authors"),
+        F.when(F.col("doc_id") % 2 == 0, "2024-01-01").alias("published"),
+        F.substring("abstract", 1, 200).alias("link"))
+    hits = _bm25(spark, sf_dir).select("query_id", "rank", "doc_id")
+    return search.result_cards(hits, docs, "research_papers")
 
 
 def index_postings(spark, sf_dir):
@@ -131,7 +131,7 @@ def tokens_title_query(spark, sf_dir):
 
 
 def tokens_english(spark, sf_dir):
-    docs = papers(spark, sf_dir).filter("lang = 'en'")
+    docs = papers(spark, sf_dir)
     return docs.select("doc_id", F.array_join(
         analysis.english_tokens(F.col("text")), " ").alias("tokens"))
 
@@ -292,8 +292,9 @@ ORACLES = {
         JOIN (SELECT source, min(doc_id) AS query_id FROM documents GROUP BY source) USING (source)""",
     "result_cards": f"""{_ONE}, h AS ({sql.top('cs')})
         SELECT h.query_id, h.rank, h.doc_id, coalesce(nullif({sql.TITLE}, ''), 'N/A') AS title,
-               coalesce(nullif(source, ''), 'N/A') AS link,
-               substr({sql.ABSTRACT}, 1, 200) AS snippet
+               source || ', ' || lang AS authors,
+               CASE WHEN doc_id % 2 = 0 THEN '2024-01-01' ELSE 'N/A' END AS published,
+               substr({sql.ABSTRACT}, 1, 200) AS link
         FROM h JOIN documents USING (doc_id)""",
     "index_postings": f"""WITH {sql.papers_cte(_BOTH)}
         SELECT field, term, doc_id, CAST(count(*) AS BIGINT) AS tf,

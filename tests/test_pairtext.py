@@ -114,8 +114,8 @@ def test_line_measures(spark):
     row = df.select(quality.value_lengths(line), quality.value_lengths(line, True),
                     quality.unbalanced_brackets(line)).first()
     assert tuple(row) == ([4, 14], [4, 2, 1], True)
-    grams = quality.with_repetition(lines(spark, "a b c a b c a b c", "a b", ""), line, 3, "n").orderBy("id").collect()
-    assert [r["n"] for r in grams] == [3, 0, 0]
+    grams = lines(spark, "a b c a b c a b c", "a b", "").select("id", quality.repetition(line, 3).alias("n"))
+    assert [r["n"] for r in grams.orderBy("id").collect()] == [3, 0, 0]
     rep = quality.repeats_ngram(lines(spark, "a b\ta b\t1", "a b\tb a\t1"), "id", F.lit(2)).orderBy("id").collect()
     assert [r["repeated"] for r in rep] == [True, False]
 
