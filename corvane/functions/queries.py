@@ -58,19 +58,28 @@ def normalise_queries(queries: DataFrame, text: str = "query") -> DataFrame:
                         .otherwise(F.slice(pairs, 1, 0))))
 
 
+def period(value: str) -> tuple[str, str | None]:
+    """Start of a partial date, and the start of the next period for a year or a month."""
+    if len(value) == 4:
+        return f"{value}-01-01", f"{int(value) + 1:04d}-01-01"
+    if len(value) == 7:
+        year, month = int(value[:4]), int(value[5:])
+        return f"{value}-01", f"{year + month // 12:04d}-{month % 12 + 1:02d}-01"
+    return value, None
+
+
 def date_matches(published: Column, op: str, value: str) -> Column:
-    """Date predicate on a timestamp column; plain comparisons, so they reach the scan.
+    """Date predicate on a date or timestamp column.  Bounds are text literals, which Spark turns
+    into the type of the column, so the comparison reaches the scan.
 
     Equality on a year or a month is the half-open period; on a full date it is that instant.
     """
-    text = F.lit(value)
-    start = partial_date(text)
-    if op == "=" and len(value) == 4:
-        return (published >= start) & (published < F.add_months(start, 12).cast("timestamp"))
-    if op == "=" and len(value) == 7:
-        return (published >= start) & (published < F.add_months(start, 1).cast("timestamp"))
-    compare = {"=": published == start, ">": published > start, ">=": published >= start,
-               "<": published < start, "<=": published <= start}
+    start, end = period(value)
+    first = F.lit(start)
+    if op == "=" and end is not None:
+        return (published >= first) & (published < F.lit(end))
+    compare = {"=": published == first, ">": published > first, ">=": published >= first,
+               "<": published < first, "<=": published <= first}
     return compare[op]
 
 

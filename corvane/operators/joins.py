@@ -6,6 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
+BROADCAST_ROWS = 200_000  # limit for sending a table to every task
+
+
+def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether a table is small enough to be sent to every task; counts at most limit + 1 rows."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def lookup(big: DataFrame, small: DataFrame, on: list[str], spread: list[str]) -> DataFrame:
+    """Inner join with a lookup table: broadcast when counted as small, salted otherwise.  Pass a
+    stored table, since it is counted first."""
+    if few_rows(small):
+        return big.join(F.broadcast(small), on)
+    return salted_lookup(big, small, on, spread)
 
 
 def salted_lookup(big: DataFrame, small: DataFrame, on: list[str], spread: list[str],

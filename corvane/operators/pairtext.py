@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corvane.functions import cleaning
 from corvane.functions.analysis import ENGLISH_STOP_WORDS
 from corvane.functions.binding import let
-from corvane.operators.joins import salted_lookup
+from corvane.operators.joins import lookup
 from corvane.operators.linkage import LABEL, LEFT, RIGHT
 
 SEGMENT = r"COL (\S+) VAL((?: (?!COL(?: |$))\S+)*+)"
@@ -182,7 +182,7 @@ def summarise(lines: DataFrame, id_col: str, idf: DataFrame, max_len: int = 128,
 
     COL and VAL always stay and count first; per side tokens are taken by weight (ties by text)
     until the budget would overflow; a token is written once, at its first place.  Stop words and
-    unknown words weigh nothing and come last.  ``token_length`` is an expression over ``token``;
+    unknown words weigh nothing and come last.  ``idf`` should be a stored table.  ``token_length`` is an expression over ``token``;
     by default a token has length 1.  All groups lie inside one line.
     """
     length = token_length if token_length is not None else F.lit(1)
@@ -198,7 +198,7 @@ def summarise(lines: DataFrame, id_col: str, idf: DataFrame, max_len: int = 128,
                .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first")))
     per_pair = (counted.filter(weighed).groupBy("id", "token", word.alias("word"))
                 .agg(F.sum("n").alias("n")))
-    weights = (salted_lookup(per_pair, idf, ["word"], ["id"])
+    weights = (lookup(per_pair, idf, ["word"], ["id"])
                .select("id", "token", (F.col("n") * F.col("idf")).alias("weight")))
     budget = sides.groupBy("id", "side").agg(F.count_if(is_marker).alias("used"))
     ranked = (counted.join(weights, ["id", "token"], "left").join(budget, ["id", "side"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import cleaning
 from corvane.functions.binding import occurrence_runs, token_counts
-from corvane.operators.joins import salted_lookup
+from corvane.operators.joins import lookup, salted_lookup
 from corvane.operators.pairtext import VOCAB_PATTERN, split_line
 from corvane.session import materialise
 
@@ -83,11 +83,12 @@ def word_frequencies(texts: DataFrame, column: str) -> DataFrame:
 
 
 def dictionary_scores(texts: DataFrame, id_col: str, text: Column, frequencies: DataFrame) -> DataFrame:
-    """id, n_words, hit_rate (1 without words), mean_zipf (0 without words)."""
+    """id, n_words, hit_rate (1 without words), mean_zipf (0 without words); ``frequencies`` should
+    be a stored table."""
     words = texts.select(F.col(id_col).alias("id"), alphabetic(text).alias("w"))
     counted = (words.select("id", F.inline_outer(token_counts(F.col("w")))).filter(F.col("term").isNotNull())
                .select("id", F.col("term").alias("word"), F.col("tf").alias("n")))
-    found = (salted_lookup(counted, frequencies.filter("zipf > 0"), ["word"], ["id"])
+    found = (lookup(counted, frequencies.filter("zipf > 0"), ["word"], ["id"])
              .groupBy("id").agg(F.sum("n").alias("hits"), F.sum(F.col("n") * F.col("zipf")).alias("z")))
     sizes = words.select("id", F.size("w").cast("long").alias("n_words"))
     return (sizes.join(found, "id", "left").select(

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from corvane.functions.analysis import ANALYZERS
 from corvane.functions.binding import token_counts, token_places
-from corvane.operators.joins import salted_lookup
+from corvane.operators.joins import few_rows, salted_lookup
 
 K1 = 1.2
 B = 0.75
-BROADCAST_ROWS = 200_000  # limit for sending a query-side table to every task
 SCORE_DIGITS = 6  # scores are compared at this precision so that ranks do not depend on sum order
 
 
@@ -105,11 +104,6 @@ def query_terms(clauses: DataFrame, analyzers: dict[str, str]) -> DataFrame:
             .groupBy("query_id", "clause", "field", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
 
-def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a query-side table is small enough to be sent to every task."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def clause_scores(index: Index, terms: DataFrame) -> DataFrame:
     """Score of every clause in every document holding one of its terms:
     query_id, clause, field, doc_id, score.

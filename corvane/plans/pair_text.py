@@ -111,8 +111,8 @@ def document_lines(spark, sf_dir):
 
 
 def tfidf_summary(spark, sf_dir):
-    lines = _lines(spark, sf_dir)
-    return pairtext.summarise(lines, "p_partkey", pairtext.entry_idf(lines), max_len=14)
+    lines = materialise(_lines(spark, sf_dir))
+    return pairtext.summarise(lines, "p_partkey", materialise(pairtext.entry_idf(lines)), max_len=14)
 
 
 def tfidf_idf(spark, sf_dir):
@@ -143,7 +143,7 @@ def bracket_balance(spark, sf_dir):
 
 
 def _frequencies(spark, sf_dir):
-    return quality.word_frequencies(table(spark, sf_dir, "conversations"), "text")
+    return materialise(quality.word_frequencies(table(spark, sf_dir, "conversations"), "text"))
 
 
 def word_frequency(spark, sf_dir):

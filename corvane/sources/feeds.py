@@ -83,7 +83,7 @@ def search_results(pages: DataFrame) -> DataFrame:
             title = "".join(t.strip() for p in item.all("p") if _has(p, "title")
                             for t in p.content if isinstance(t, str))
             spans = [s for s in item.all("span") if _has(s, "abstract-full")]
-            abstract = "".join(t.strip() for s in spans for t in _texts(s))
+            abstract = "".join(t.strip() for s in spans for t in s.texts())
             yield title.strip(), abstract.strip()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,11 +94,3 @@ def search_results(pages: DataFrame) -> DataFrame:
                                    columns=["page_id", "number", "title", "abstract"])
 
     return pages.select(F.col("page_id").cast("string"), "markup").mapInPandas(run, RESULT)
-
-
-def _texts(element: Element) -> Iterator[str]:
-    for item in element.content:
-        if isinstance(item, Element):
-            yield from _texts(item)
-        else:
-            yield item

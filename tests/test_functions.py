@@ -128,3 +128,20 @@ def test_normalise_queries(spark, text, kind, clauses, first, last):
 def test_field_queries(spark, text, valid, n):
     row = queries.field_query_clauses(spark.createDataFrame([(text,)], "query string")).first()
     assert (row["valid"], len(row["clauses"])) == (valid, n)
+
+
+@pytest.mark.parametrize("op, value, expected", [
+    ("=", "2020", [2, 3, 4]), ("=", "2020-12", [3, 4]), ("=", "2020-12-31", [4]), (">", "2020-12-31", [5]),
+    (">=", "2020-12", [3, 4, 5]), ("<", "2020", [1]), ("<=", "2020-01-01", [1, 2]),
+])
+def test_date_matches_and_reaches_the_scan(spark, tmp_path, op, value, expected):
+    days = ["2019-12-31", "2020-01-01", "2020-12-01", "2020-12-31", "2021-01-01"]
+    rows = spark.createDataFrame(list(enumerate(days, start=1)), "id int, d string")
+    for kind in ("timestamp", "timestamp_ntz", "date"):
+        path = str(tmp_path / kind)
+        rows.select("id", F.col("d").cast(kind).alias("published")).write.parquet(path)
+        found = spark.read.parquet(path).filter(queries.date_matches(F.col("published"), op, value))
+        assert sorted(r["id"] for r in found.collect()) == expected
+        plan = found._jdf.queryExecution().toString()
+        pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+        assert "published," in pushed.replace("IsNotNull(published)", "")
