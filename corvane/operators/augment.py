@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Markers of a serialised pair, inserted symbols, size of a short column, operations
+# that ``all`` draws from.
 SEPARATOR = "[SEP]"
 HEADS = ["COL", "VAL"]
 SEPARATORS = ["[CLS]", SEPARATOR]

@@ -13,6 +13,7 @@ from corvane.operators.joins import lookup, salted_lookup
 from corvane.operators.pairtext import VOCAB_PATTERN, split_line
 from corvane.session import materialise
 
+# Sizes and patterns of the quality filter.
 NGRAM = 3            # n-gram size of the repetition statistic
 VOCABULARY = 10_000  # size of the TF-IDF vocabulary, a fixed value: its table may be broadcast
 MIN_DF = 2

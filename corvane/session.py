@@ -67,7 +67,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+    """Send this package to the Python workers, once per application.
+
+    The archive is staged next to the driver only; Spark hands it to every executor.
+    """
     context = spark.sparkContext
     if getattr(context, "_corvane_shipped", False):
         return

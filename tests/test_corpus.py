@@ -165,8 +165,8 @@ def test_line_sources(spark, tmp_path):
     assert all(not r[3] or r[0] == "T1" for r in show(broken))
     pairs = put("p.txt", "COL a VAL x\tCOL a VAL y\t1\n\nbad line\n")
     assert [r["label"] for r in files.pair_lines(spark, pairs).collect()] == [1]
-    log = put("log.txt", "cars_lm=roberta dk=False 17.068631\n")
-    assert files.run_log(spark, log).collect() == [("cars_lm=roberta dk=False", 17.068631)]
+    log = put("log.txt", "run_a dk=False 17.068631\n")
+    assert files.run_log(spark, log).collect() == [("run_a dk=False", 17.068631)]
     years = put("y.csv", "Year,Number of Papers\n1999,1\n2025,252\n")
     assert files.year_counts(spark, years).collect() == [("1999", 1), ("2025", 252)]
 
