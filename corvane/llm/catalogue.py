@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from corvane.llm import exact_dedup, line_dedup, packing, sharding, warc
+from corvane.llm import (exact_dedup, language, line_dedup, packing, resampling, sharding,
+                         token_counts, warc)
 
 QUERIES = {
     "op1_warc_normaliser": warc.op1_warc_normaliser,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op5_importance_resampling": resampling.op5_importance_resampling,
     "op6_stratified_interleaving": sharding.op6_stratified_interleaving,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_language_id": language.op9_language_id,
+    "op10_edit_aware_counts": token_counts.op10_edit_aware_counts,
 }
 
 ORACLES = {
