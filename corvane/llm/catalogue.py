@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from corvane.llm import (exact_dedup, language, line_dedup, packing, resampling, sharding,
-                         token_counts, warc)
+from corvane.llm import (decontamination, exact_dedup, jaccard_join, language, line_dedup, packing,
+                         resampling, sharding, token_counts, warc)
 
 QUERIES = {
     "op1_warc_normaliser": warc.op1_warc_normaliser,
+    "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
     "op5_importance_resampling": resampling.op5_importance_resampling,
     "op6_stratified_interleaving": sharding.op6_stratified_interleaving,
     "op7_line_dedup": line_dedup.op7_line_dedup,

@@ -91,10 +91,10 @@ def shingles(texts: list[str | None], size: int = 5) -> list[np.ndarray]:
         if b - a >= size:
             out.append(np.unique(runs[a:b - size + 1]))
         elif b > a:
-            one = np.uint64(b - a)
-            for h in words[a:b]:
-                one = one * np.uint64(MULTIPLIER) + h
-            out.append(mixed(np.array([one], np.uint64)))
+            one = np.array([b - a], np.uint64)
+            for k in range(a, b):
+                one = one * np.uint64(MULTIPLIER) + words[k]
+            out.append(mixed(one))
         else:
             out.append(np.empty(0, np.uint64))
     return out
