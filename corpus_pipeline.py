@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import decontamination, jaccard_join, language, line_dedup, packing
-from corvane.llm.common import stored, table
+from corvane.llm.common import stored, table, unused
 
 LEAST_SCORE = 0.5
 """Posterior of the best language below which a document is rejected."""
@@ -14,15 +14,16 @@ LEAST_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or without a language more likely than the others together, go."""
-    docs = docs.select(docs.columns)
     model = language.train(docs.filter(~language.held_out()))
-    named = language.identify(docs, model)
-    return named.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    lang, score = unused(docs, "_lang"), unused(docs, "_lang_score")
+    named = language.identify(docs, model, pred_col=lang, score_col=score)
+    return named.filter((F.col(lang) != "und") & (F.col(score) >= LEAST_SCORE)).select(docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that recur across documents stay in the last of them only."""
-    return line_dedup.drop_lines(docs)
+    """Lines that recur across documents stay in the last of them only; n_chars counts what is left."""
+    left = line_dedup.drop_lines(docs)
+    return left.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,14 @@ def empty_text(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one where ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], column: str,
                 limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Slices of the batches whose texts hold about ``limit`` bytes, at least one row each."""

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.common import stored, table, text_blocks
+from corvane.llm.common import stored, table, text_blocks, unused
 from corvane.llm.words import MULTIPLIER, NOT_ALNUM, mixed, word_hashes
 
 BLOCK = 16
@@ -207,9 +207,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     Rows with the same id go together.  Rows with a null id stay unless such a row holds an item.
     """
+    own = unused(docs, "_found")
     found = stored(find_items(docs, items, id_col=id_col, text_col=text_col, **options)
-                   .select(F.col(id_col).alias("_found")).distinct(), "contaminated")
-    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("_found")), "left_anti")
+                   .select(F.col(id_col).alias(own)).distinct(), "contaminated")
+    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col(own)), "left_anti")
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvane.llm.common import table, text_blocks
 
@@ -141,8 +142,11 @@ def score(texts: list[str | None], langs: list[str], model: np.ndarray) -> tuple
     return names, values
 
 
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
-    """``docs`` (columns as they are) with lang_pred and score.
+def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text",
+             pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+    """``docs`` (columns as they are) with the predicted language and its score.
+
+    Columns that have these two names already are replaced.
 
     The prediction reads the whole text and nothing else.  A text that is null or has no letter is
     ``und`` with score 0, as is every text when no language was learned.  Ties go to the first
@@ -150,6 +154,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
+    docs = docs.drop(pred_col, score_col)
     fields = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,14 +162,10 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
         for batch, texts in text_blocks(batches, text_col):
             names, values = score(texts, langs, weights)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(values, pa.float64())],
-                                             names=[*fields, "lang_pred", "score"])
-
-    from pyspark.sql.types import DoubleType, StringType, StructType
+                                             names=[*fields, pred_col, score_col])
 
-    schema = StructType([f for f in docs.schema if f.name not in ("lang_pred", "score")])
-    if len(schema) < len(fields):
-        raise ValueError("rename the columns lang_pred and score first")
-    return docs.mapInArrow(run, schema.add("lang_pred", StringType()).add("score", DoubleType()))
+    schema = T.StructType([*docs.schema, T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

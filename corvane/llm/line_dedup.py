@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import empty_text, stored, table
+from corvane.llm.common import empty_text, stored, table, unused
 
 _SPACE = "\\\\x20\\\\x09-\\\\x0D"
 
@@ -139,17 +139,20 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return (dropped.groupBy("id", "th").agg(F.array_sort(F.collect_set("pos")).alias("positions")))
 
 
-def with_bitmaps(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with _n_lines, _n_dropped and _bitmap (null: every line stays)."""
+def with_bitmaps(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with n_lines, n_dropped and the bitmap (null: every line stays), under the names returned."""
+    own = [unused(docs, f"_{name}") for name in ("n_lines", "n_dropped", "bitmap", "drop_id", "drop_th", "places")]
+    n_lines, n_dropped, bitmap, drop_id, drop_th, places = own
     n = F.size(lines(text_col))
-    right = dropped.select(F.col("id").alias("_drop_id"), F.col("th").alias("_drop_th"), "positions")
-    met = (F.col(id_col).cast("long").eqNullSafe(F.col("_drop_id"))
-           & (F.xxhash64(empty_text(text_col)) == F.col("_drop_th")))
-    bitmap = F.when(F.col("positions").isNotNull(), _bitmap(F.coalesce("positions", F.array().cast("array<int>")), n))
-    return (docs.join(right, met, "left")
-            .withColumns({"_n_lines": n.cast("long"),
-                          "_n_dropped": F.coalesce(F.size("positions"), F.lit(0)).cast("long"),
-                          "_bitmap": bitmap}))
+    right = dropped.select(F.col("id").alias(drop_id), F.col("th").alias(drop_th), F.col("positions").alias(places))
+    met = (F.col(id_col).cast("long").eqNullSafe(F.col(drop_id))
+           & (F.xxhash64(empty_text(text_col)) == F.col(drop_th)))
+    bits = _bitmap(F.coalesce(places, F.array().cast("array<int>")), n)
+    marked = docs.join(right, met, "left").withColumns({
+        n_lines: n.cast("long"),
+        n_dropped: F.when(F.col(places).isNull(), 0).otherwise(F.size(places)).cast("long"),
+        bitmap: F.when(F.col(places).isNotNull(), bits)})
+    return marked, own[:3]
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20,
@@ -160,26 +163,29 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     row; other columns are not read.
     """
     narrow = docs.select(id_col, text_col)
-    marked = with_bitmaps(narrow, dropped_lines(narrow, id_col, text_col, min_chars, min_docs), id_col, text_col)
-    return marked.select(id_col, F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-                         F.col("_bitmap").alias("bitmap"))
+    marked, names = with_bitmaps(narrow, dropped_lines(narrow, id_col, text_col, min_chars, min_docs), id_col, text_col)
+    return marked.select(id_col, *[F.col(c).alias(c.strip("_")) for c in names])
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20,
                min_docs: int = 3) -> DataFrame:
-    """``docs`` with the lines that stay as text; all columns as they were."""
-    marked = with_bitmaps(docs, dropped_lines(docs, id_col, text_col, min_chars, min_docs), id_col, text_col)
-    text = F.when(F.col("_bitmap").isNull(), F.col(text_col)).otherwise(
-        _kept_text(F.when(F.col("_bitmap").isNotNull(), empty_text(text_col)), F.col("_bitmap")))
-    return marked.select(*[text.alias(c) if c == text_col else marked[c] for c in docs.columns])
+    """``docs`` with the lines that stay as text; all other columns as they were.  A null text stays null."""
+    marked, (_, _, bitmap) = with_bitmaps(docs, dropped_lines(docs, id_col, text_col, min_chars, min_docs), id_col,
+                                          text_col)
+    text = F.when(F.col(bitmap).isNull(), F.col(text_col)).otherwise(_rest(text_col, bitmap))
+    return marked.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+
+
+def _rest(text_col: str, bitmap: str) -> Column:
+    """Only texts that lose lines go to Python."""
+    return _kept_text(F.when(F.col(bitmap).isNotNull(), empty_text(text_col)), F.col(bitmap))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = with_bitmaps(docs, dropped_lines(docs), "doc_id", "text")
-    kept = F.when(F.col("_bitmap").isNull(), empty_text("text")).otherwise(
-        _kept_text(F.when(F.col("_bitmap").isNotNull(), empty_text("text")), F.col("_bitmap")))
-    return marked.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
+    marked, (n_lines, n_dropped, bitmap) = with_bitmaps(docs, dropped_lines(docs), "doc_id", "text")
+    kept = F.when(F.col(bitmap).isNull(), empty_text("text")).otherwise(_rest("text", bitmap))
+    return marked.select("doc_id", F.col(n_lines).alias("n_lines"), F.col(n_dropped).alias("n_dropped"),
                          F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
 
 
