@@ -67,26 +67,19 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.lengths = np.zeros(1024, np.int64)
-        self.starts = np.zeros(1024, np.int64)
-        self.flat = np.zeros(4096, np.uint32)
-        self.used = 0
-
-    def _learn(self, key: int | None, ids) -> int:
-        slot = self.count
-        self.count += 1
-        if slot >= len(self.lengths):
-            self.lengths = np.resize(self.lengths, 2 * len(self.lengths))
-            self.starts = np.resize(self.starts, 2 * len(self.starts))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.lengths[slot], self.starts[slot] = len(ids), self.used
-        self.used += len(ids)
-        if key is not None:
-            self.known[key] = slot
-        return slot
+        self.keys = np.empty(0, np.uint64)  # sorted hashes of known pre-tokens, and their entries
+        self.entries = np.empty(0, np.int32)
+        self.lengths = np.empty(0, np.int32)
+        self.starts = np.empty(0, np.int32)
+        self.flat = np.empty(0, np.uint16 if len(self.widths) <= 1 << 16 else np.uint32)
+
+    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Entries for pre-tokens of these ids."""
+        first = len(self.lengths)
+        self.starts = np.append(self.starts, (len(self.flat) + np.cumsum(lengths) - lengths).astype(np.int32))
+        self.lengths = np.append(self.lengths, lengths.astype(np.int32))
+        self.flat = np.append(self.flat, ids.astype(self.flat.dtype))
+        return np.arange(first, len(self.lengths), dtype=np.int32)
 
     def cuts(self, points: np.ndarray, firsts: np.ndarray | None = None) -> np.ndarray:
         """Where pre-tokens begin.  ``firsts``: where texts begin, if there are several."""
@@ -128,9 +121,8 @@ class Encoder:
 
     def slots(self, points: np.ndarray, cuts: np.ndarray) -> np.ndarray:
         """The table entry of each pre-token."""
-        if len(self.known) > self.cache or not hasattr(self, "count"):
+        if len(self.lengths) > self.cache:
             self._forget()
-            self.count = 0
         if not len(cuts):
             return np.empty(0, np.int64)
         widths = np.diff(np.append(cuts, len(points)))
@@ -138,36 +130,42 @@ class Encoder:
         values = (points.astype(np.uint64) + np.uint64(1)) * _POWERS[np.minimum(place, LONG - 1)]
         hashes = mixed(np.add.reduceat(values, cuts) + widths.astype(np.uint64))
         distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        known = self.known
-        slots = np.array([known.get(key, -1) for key in distinct.tolist()], np.int64)
-        new = np.flatnonzero(slots < 0)
-        new = new[widths[at[new]] <= LONG]
+        slots = np.full(len(distinct), -1, np.int32)
+        if len(self.keys):
+            found = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
+            slots = np.where(self.keys[found] == distinct, self.entries[found], slots)
+        short = widths[at] <= LONG
+        new = np.flatnonzero((slots < 0) & short)
         first = cuts[at[new]]
-        plain = (points[first] == 0x20) & (widths[at[new]] > 1)
-        plain &= self.kinds[points[np.minimum(first + 1, len(points) - 1)]] == LETTER
-        slots[new] = self._learn_all(distinct[new], [_text(points, a, widths[i]) for a, i in zip(first, at[new])],
-                                     plain)
+        joins = (points[first] == 0x20) & (widths[at[new]] > 1)
+        joins &= self.kinds[points[np.minimum(first + 1, len(points) - 1)]] == LETTER
+        for part, together in ((new[joins], True), (new[~joins], False)):
+            slots[part] = self._learn([_text(points, cuts[i], widths[i]) for i in at[part]], together)
+        self.entries = np.insert(self.entries, where := np.searchsorted(self.keys, distinct[new]), slots[new])
+        self.keys = np.insert(self.keys, where, distinct[new])
         out = slots[back]
-        for i in np.flatnonzero((out < 0) | (widths > LONG)):
-            out[i] = self._learn(None, self.bpe.encode_ordinary(_text(points, cuts[i], widths[i])))
+        rest = np.flatnonzero((out < 0) | (widths > LONG))
+        out[rest] = self._learn([_text(points, cuts[i], widths[i]) for i in rest], False)
         return out
 
-    def _learn_all(self, keys: np.ndarray, words: list[str], plain: np.ndarray) -> list[int]:
-        """Entries for new pre-tokens.  Those of a space and letters stay apart when joined."""
-        joined = [w for w, p in zip(words, plain) if p]
-        flat = np.array(self.bpe.encode_ordinary("".join(joined)), np.int64)
-        ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) for w in joined])
-        parts = iter(np.split(flat, np.searchsorted(np.cumsum(self.widths[flat]), ends[:-1]) + 1)
-                     if joined else [])
-        return [self._learn(key, next(parts) if p else self.bpe.encode_ordinary(w))
-                for key, w, p in zip(keys.tolist(), words, plain)]
+    def _learn(self, words: list[str], together: bool) -> np.ndarray:
+        """Entries for pre-tokens.  Those of a space and letters stay apart when they are joined."""
+        if not words:
+            return np.empty(0, np.int32)
+        if together:
+            ids = np.array(self.bpe.encode_ordinary("".join(words)), np.int64)
+            ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) for w in words])
+            last = np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1
+            return self._add(ids, np.diff(last, prepend=0))
+        found = [self.bpe.encode_ordinary(w) for w in words]
+        return self._add(np.array([i for ids in found for i in ids], np.int64), np.array([len(f) for f in found], np.int64))
 
     def ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each pre-token has."""
-        lengths = self.lengths[slots]
+        lengths = self.lengths[slots].astype(np.int64)
         total = int(lengths.sum())
         before = np.cumsum(lengths) - lengths
-        return self.flat[np.arange(total) + np.repeat(self.starts[slots] - before, lengths)], lengths
+        return self.flat[np.arange(total) + np.repeat(self.starts[slots] - before, lengths)].astype(np.uint32), lengths
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and where each text's ids begin (one entry more than texts)."""
