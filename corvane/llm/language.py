@@ -53,7 +53,7 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     first = place[begins]
     full = first[1:] > first[:-1]  # pieces with a letter
     none = np.uint32(1 << BITS)
-    y, z = np.append(x[1:], 0).astype(np.uint32), np.append(x[2:], [0, 0]).astype(np.uint32)
+    y, z = np.append(x[1:], 0).astype(np.uint32), np.append(x[2:], [0, 0])[:len(x)].astype(np.uint32)
     a, b, c = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 
     def bucket(h: np.ndarray, valid: np.ndarray) -> np.ndarray:
