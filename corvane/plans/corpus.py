@@ -318,14 +318,15 @@ ORACLES = {
           generate_subscripts(s, 1) - 1 AS ordinal FROM (SELECT doc_id,
           string_split({sql.ABSTRACT}, chr(10)) AS s FROM documents) x),
         pt AS (SELECT DISTINCT paper_id, ordinal, unnest({sql.tokens('text')}) AS term FROM p),
-        rare AS (SELECT paper_id, term FROM pt GROUP BY ALL HAVING count(*) <= 5),
+        rare AS (SELECT term FROM pt GROUP BY term HAVING count(DISTINCT paper_id)
+                 <= 0.5 * (SELECT count(DISTINCT paper_id) FROM pt)),
         ct AS (SELECT DISTINCT doc_id AS paper_id, unnest({sql.tokens(sql.TITLE)}) AS term FROM documents)
         SELECT paper_id, 'title' AS object_id, ordinal, CAST(count(*) AS BIGINT) AS n_shared
-        FROM pt JOIN rare USING (paper_id, term) JOIN ct USING (paper_id, term)
+        FROM pt JOIN rare USING (term) JOIN ct USING (paper_id, term)
         WHERE term NOT IN ('a','an','and','are','as','at','be','but','by','for','if','in','into','is','it',
           'no','not','of','on','or','such','that','the','their','then','there','these','they','this','to',
           'was','will','with')
-        GROUP BY ALL HAVING count(*) >= 2""",
+        GROUP BY ALL""",
     "title_section_extract": f"""WITH v AS (SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN
             chr(10) || '  TITLE: ' || {sql.TITLE} || chr(10) || chr(10) || 'Abstract: ' || {sql.ABSTRACT}
             || chr(10) || 'Keywords: search' || chr(10) || 'not part of it' ELSE text END AS v FROM documents),

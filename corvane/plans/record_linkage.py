@@ -34,9 +34,8 @@ def raw_a(spark, sf_dir):
 def raw_b(spark, sf_dir):
     """The perturbed copy: a character dropped from the name, price moved, brand missing."""
     k = F.col("p_partkey")
-    at = (F.lit(1) + k % F.length("p_name")).cast("int")
     typo = F.concat(F.expr("substring(p_name, 1, cast(p_partkey % length(p_name) as int))"),
-                    F.substring(F.col("p_name"), at + 1, F.lit(100)))
+                    F.expr("substring(p_name, cast(p_partkey % length(p_name) as int) + 2)"))
     return spread_table(spark, sf_dir, "part", "p_partkey").select(
         k,
         F.when(k % 13 == 0, None).when(k % 29 == 0, F.md5(F.lit("hot")))

@@ -93,7 +93,7 @@ def result_cards(spark, sf_dir):
     docs = papers(spark, sf_dir).select(
         "doc_id", F.nullif("title", F.lit("")).alias("title"), F.array("source", "lang").alias("authors"),
         F.when(F.col("doc_id") % 2 == 0, "2024-01-01").alias("published"),
-        F.substring("abstract", 1, 200).alias("link"))
+        F.col("abstract").alias("link"))
     hits = _bm25(spark, sf_dir).select("query_id", "rank", "doc_id")
     return search.result_cards(hits, docs, "research_papers")
 
@@ -294,7 +294,7 @@ ORACLES = {
         SELECT h.query_id, h.rank, h.doc_id, coalesce(nullif({sql.TITLE}, ''), 'N/A') AS title,
                source || ', ' || lang AS authors,
                CASE WHEN doc_id % 2 = 0 THEN '2024-01-01' ELSE 'N/A' END AS published,
-               substr({sql.ABSTRACT}, 1, 200) AS link
+               {sql.ABSTRACT} AS link
         FROM h JOIN documents USING (doc_id)""",
     "index_postings": f"""WITH {sql.papers_cte(_BOTH)}
         SELECT field, term, doc_id, CAST(count(*) AS BIGINT) AS tf,

@@ -5,8 +5,8 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,15 +45,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and read it back.
+    """``df``, kept in the executors' memory and on their disks once something has read it.
 
-    Several consumers then cost one run, a lost executor costs no recomputation, and the reader
-    still prunes columns and knows the size.
+    Several consumers then cost one run.  Nothing runs while a query is built, and what a lost
+    executor held is computed again.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/corvane-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -229,9 +229,11 @@ def test_existence_and_metadata_joins(spark):
     assert [r[0] for r in joins.unseen(papers, part, "paper_id").collect()] == ["b"]
 
 
-def test_context_paragraphs(spark):
-    paras = spark.createDataFrame([("p", i, f"common words here {w}") for i, w in enumerate(
-        ["glyphosate dose", "sql", "dose response glyphosate", "x", "y", "z"])], "paper_id string, ordinal int, text string")
+@pytest.mark.parametrize("n", [6, 60])
+def test_context_paragraphs(spark, n):
+    paras = spark.createDataFrame([("p", i, "common glyphosate dose") for i in range(n)]
+                                  + [("p", n, "nothing shared here"), ("q", 0, "common table"), ("r", 0, "common")],
+                                  "paper_id string, ordinal int, text string")
     objects = spark.createDataFrame([("p", "T1", "Glyphosate dose in common words")], "paper_id string, object_id string, text string")
     got = extraction.context_paragraphs(objects, paras).collect()
-    assert sorted((r["ordinal"], r["n_shared"]) for r in got) == [(0, 2), (2, 2)]
+    assert sorted((r["ordinal"], r["n_shared"]) for r in got) == [(i, 2) for i in range(n)]
