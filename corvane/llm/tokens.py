@@ -1,12 +1,13 @@
 """Byte-level BPE over whole batches: pre-tokens by numpy, each distinct pre-token encoded once.
 
-The ids are those of ``tokenizers`` with the given file; texts that spell a special token are
-ordinary text.  Tests compare both.
+The ids are those of ``tokenizers`` with the given file; a special token that a text spells is
+one id there.  Tests compare both.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -55,9 +56,9 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         alphabet = _byte_alphabet()
-        special = {t["content"] for t in spec.get("added_tokens", [])}
+        self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         ranks = {bytes(alphabet[c] for c in word): i for word, i in spec["model"]["vocab"].items()
-                 if word not in special}
+                 if word not in self.special}
         self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.widths = np.zeros(max(ranks.values()) + 1, np.int64)  # bytes of each id
         for word, i in ranks.items():
@@ -169,6 +170,24 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and where each text's ids begin (one entry more than texts)."""
+        if not any(word in text for text in texts for word in self.special):
+            return self._encode_ordinary(texts)
+        between = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        split = [between.split(text) for text in texts]  # odd places hold special tokens
+        flat, begins = self._encode_ordinary([part for parts in split for part in parts[::2]])
+        ids, starts, total, k = [], [0], 0, 0
+        for parts in split:
+            for j, part in enumerate(parts):
+                if j % 2:
+                    ids.append(np.array([self.special[part]], np.uint32))
+                else:
+                    ids.append(flat[begins[k]:begins[k + 1]])
+                    k += 1
+                total += len(ids[-1])
+            starts.append(total)
+        return np.concatenate(ids), np.array(starts)
+
+    def _encode_ordinary(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         points, firsts = code_points(texts)
         cuts = self.cuts(points, firsts[firsts < len(points)])
         flat, lengths = self.ids(self.slots(points, cuts))

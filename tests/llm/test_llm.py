@@ -61,7 +61,6 @@ def test_ids_equal_tokenizers():
     from tokenizers import Tokenizer
 
     reference = Tokenizer.from_file(tokens.default_path())
-    reference.encode_special_tokens = True
     draw = random.Random(3)
     parts = ["'", "s", "t", "re", "ve", "ll", "d", " ", "  ", "\n", "\t", "a", "B", "é", "1", "²", "½", "_", "-", "\xa0",
              "中", "\U0001F600", "\x85", "\x1c", "<|endoftext|>", "'S", "x" * 60]
@@ -77,7 +76,6 @@ def test_packing(spark, odd, odd_rows, empty):
     from tokenizers import Tokenizer
 
     reference = Tokenizer.from_file(tokens.default_path())
-    reference.encode_special_tokens = True
     rows = packing.pack(odd.repartition(3)).collect()
     pieces = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["ids_crc32"], r["length"]) for r in rows)
     want = []
