@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,13 +12,6 @@ from pyspark.sql import functions as F
 DATE_CLAUSE = r"published\s*:\s*([<>]=|[<>]|=)\s*([\d\-]+)"
 FIELD_CLAUSE = r'(\w+):"([^"]+)"'
 
-# Fields searched when a query names none.
-DEFAULT_FIELDS = {
-    "research_papers": ["title", "authors", "summary", "link", "content"],
-    "figures": ["figure_id", "caption", "paper_id", "url", "image_url", "blob_data"],
-    "tables": ["table_id", "caption", "paper_id", "data", "table_url", "blob_data"],
-}
-
 
 def partial_date(text: Column) -> Column:
     """``2024``, ``2024-05``, ``2024-05-01`` or an ISO instant as a timestamp (start of period)."""
@@ -29,7 +25,8 @@ def normalise_queries(queries: DataFrame, text: str = "query") -> DataFrame:
     """Add kind, date_op, date_from, date_to and clauses to a table of query strings.
 
     A date clause replaces the whole query; OR is looked for before AND; without either, the
-    first field clause counts; without field clauses all default fields are searched.
+    first field clause counts; without field clauses all default fields are searched.  A date
+    clause without a valid date is of the kind ``invalid_date`` and finds nothing.
     """
     q = F.col(text)
     op = F.regexp_extract(q, DATE_CLAUSE, 1)
@@ -41,7 +38,8 @@ def normalise_queries(queries: DataFrame, text: str = "query") -> DataFrame:
     pairs = F.arrays_zip(
         F.regexp_extract_all(q, F.lit(FIELD_CLAUSE), F.lit(1)).alias("field"),
         F.regexp_extract_all(q, F.lit(FIELD_CLAUSE), F.lit(2)).alias("text"))
-    kind = (F.when(op != "", F.when(is_eq, "date_eq").otherwise("date_range"))
+    kind = (F.when((op != "") & start.isNull(), "invalid_date")
+            .when(op != "", F.when(is_eq, "date_eq").otherwise("date_range"))
             .when(q.contains(" OR "), "should")
             .when(q.contains(" AND "), "must")
             .when(F.size(pairs) > 0, "match")
@@ -58,6 +56,17 @@ def normalise_queries(queries: DataFrame, text: str = "query") -> DataFrame:
                         .otherwise(F.slice(pairs, 1, 0))))
 
 
+def valid_date(value: str) -> bool:
+    """Whether a text is a year, a month or begins with a day of the calendar."""
+    if not re.match(r"\d{4}(-\d{2}(-\d{2}.*)?)?$", value):
+        return False
+    try:
+        datetime.date.fromisoformat((value + "-01-01")[:10])
+    except ValueError:
+        return False
+    return True
+
+
 def period(value: str) -> tuple[str, str | None]:
     """Start of a partial date, and the start of the next period for a year or a month."""
     if len(value) == 4:
@@ -72,8 +81,11 @@ def date_matches(published: Column, op: str, value: str) -> Column:
     """Date predicate on a date or timestamp column.  Bounds are text literals, which Spark turns
     into the type of the column, so the comparison reaches the scan.
 
-    Equality on a year or a month is the half-open period; on a full date it is that instant.
+    Equality on a year or a month is the half-open period; on a full date it is that instant.  An
+    invalid date matches nothing.
     """
+    if not valid_date(value):
+        return F.lit(False)
     start, end = period(value)
     first = F.lit(start)
     if op == "=" and end is not None:
@@ -106,9 +118,3 @@ def explode_clauses(queries: DataFrame) -> DataFrame:
     """query_id, clause, field, text of every clause."""
     return (queries.select("query_id", F.posexplode_outer("clauses").alias("clause", "c"))
             .filter(F.col("c").isNotNull()).select("query_id", "clause", "c.field", "c.text"))
-
-
-def with_ids(queries: DataFrame, *keys: str) -> DataFrame:
-    """Query id from the first key that is neither null nor empty."""
-    return queries.withColumn("query_id", F.coalesce(
-        *[F.nullif(F.col(k).cast("string"), F.lit("")) for k in keys]))

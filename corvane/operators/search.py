@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.analysis import ANALYZERS
 from corvane.functions.binding import token_counts, token_places
+from corvane.functions.queries import explode_clauses, normalise_queries
 from corvane.operators.joins import few_rows, salted_lookup
 
 K1 = 1.2
@@ -161,6 +162,52 @@ def top_hits(scores: DataFrame, k: int = 10) -> DataFrame:
             .select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score"))
 
 
+def run(index: Index, queries: DataFrame, published: str | None = None, k: int = 10) -> DataFrame:
+    """query_id, rank, doc_id, score of a table of query strings (query_id, query), each by its kind.
+
+    should: the sum over the clauses.  must: that sum where all clauses match.  match: the first
+    clause.  multi_match: the best of all fields of the index.  date_eq, date_range: the documents
+    whose ``published`` day lies in the period, with score 1; without that column none.  A clause on
+    a field that the index lacks matches nothing, as does an invalid date.
+    """
+    asked = normalise_queries(queries)
+    every = F.array(*[F.struct(F.lit(f).alias("field"), F.col("query").alias("text")) for f in index.fields])
+    clauses = explode_clauses(asked.withColumn(
+        "clauses", F.when(F.col("kind") == "multi_match", every).otherwise(F.col("clauses"))))
+    wanted = (asked.select("query_id", "kind").join(
+        clauses.groupBy("query_id").agg(F.count_distinct("clause").alias("n_clauses")), "query_id"))
+    summed = (clause_scores(index, query_terms(clauses, index.fields)).groupBy("doc_id", "query_id")
+              .agg(F.sum("score").alias("total"), F.max("score").alias("best"),
+                   F.count_distinct("clause").alias("n_hit")).join(wanted, "query_id"))
+    scores = (summed.filter((F.col("kind") != "must") | (F.col("n_hit") == F.col("n_clauses")))
+              .select("query_id", "doc_id",
+                      F.when(F.col("kind") == "multi_match", F.col("best")).otherwise(F.col("total")).alias("score")))
+    if published is not None:
+        scores = scores.unionByName(_date_hits(index, asked, published, k))
+    return top_hits(scores, k)
+
+
+def _date_hits(index: Index, asked: DataFrame, published: str, k: int) -> DataFrame:
+    """The k first documents of every day of a period.
+
+    A period is spelt out in days, within those the documents have, so the join is by equality and
+    meets at most k documents a day.
+    """
+    days = index.docs.select(F.col(index.id_col).alias("doc_id"), F.col(published).cast("date").alias("day")) \
+        .filter(F.col("day").isNotNull())
+    first = (days.withColumn("_rn", F.row_number().over(W.partitionBy("day").orderBy("doc_id")))
+             .filter(F.col("_rn") <= k).drop("_rn"))
+    span = days.agg(F.min("day").alias("low"), F.max("day").alias("high"))  # one row
+    op, start, end = F.col("date_op"), F.col("date_from").cast("date"), F.col("date_to").cast("date")
+    since = F.when(op == ">", F.date_add(start, 1)).otherwise(start)
+    until = F.when((op == "<") | ((op == "=") & (end > start)), F.date_sub(end, 1)).otherwise(end)
+    asked_days = (asked.filter(F.col("kind").isin("date_eq", "date_range")).join(F.broadcast(span))
+                  .select("query_id", F.greatest("low", since).alias("since"), F.least("high", until).alias("until"))
+                  .filter(F.col("since") <= F.col("until"))
+                  .select("query_id", F.explode(F.sequence("since", "until")).alias("day")))
+    return asked_days.join(first, "day").select("query_id", "doc_id", F.lit(1.0).alias("score"))
+
+
 def hit_report(scores: DataFrame, queries: DataFrame) -> DataFrame:
     """Total hits per query, also for queries without any."""
     totals = scores.groupBy("query_id").agg(F.count(F.lit(1)).alias("total_hits"))

@@ -76,6 +76,22 @@ def search_field_and(spark, sf_dir):
     return search.top_hits(search.every_clause(scores, clauses))
 
 
+def search_mixed(spark, sf_dir):
+    """Passages as query strings of all kinds against papers with a day of publication."""
+    docs = papers(spark, sf_dir).withColumn(
+        "published", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 1500).cast("int")))
+    text, form = F.translate("text", '"', " "), F.col("item_id") % 5
+    title, abstract = F.concat(F.lit('title:"'), text, F.lit('"')), F.concat(F.lit('abstract:"'), text, F.lit('"'))
+    month = F.concat(2020 + F.col("item_id") % 4, F.lit("-0"), 1 + F.col("item_id") % 9)
+    query = (F.when(form == 0, F.concat(F.lit("published:>="), month))
+             .when(form == 1, abstract)
+             .when(form == 2, F.concat(title, F.lit(" OR "), abstract))
+             .when(form == 3, F.concat(title, F.lit(" AND "), abstract))
+             .otherwise(text))
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), query.alias("query"))
+    return search.run(search.Index(docs, FIELDS), asked, "published")
+
+
 def search_english(spark, sf_dir):
     fields = {"text": "english"}
     index = search.Index(papers(spark, sf_dir), fields)
@@ -222,7 +238,7 @@ def judge_verdicts(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     search_bm25, search_should, search_must, search_multi_match, search_hit_report, search_phrase,
-    search_field_and, search_english, search_keyword, result_cards, index_postings,
+    search_field_and, search_mixed, search_english, search_keyword, result_cards, index_postings,
     index_term_stats, index_doc_stats, index_field_stats, index_load_report, tokens_title_query,
     tokens_english, date_range, date_year_eq, date_month_eq, date_day_eq, query_normalise,
     search_coverage, rank_per_query, rank_macro, rank_relevance_lists, judge_verdicts)}
@@ -262,6 +278,9 @@ per AS (SELECT query_id, count(*) AS n, sum(rel) / least(10, count(*))::DOUBLE A
                     / sum((pow(2, rel) - 1) / log2(b + 1)) ELSE 0.0 END AS ndcg
         FROM num GROUP BY query_id)"""
 
+_PARTS = {"title": f"CASE WHEN item_id % 5 IN (2, 3, 4) THEN {sql.tokens('text')} END",
+          "abstract": f"CASE WHEN item_id % 5 <> 0 THEN {sql.tokens('text')} END"}
+
 
 def _orders(where: str) -> str:
     return ("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS published FROM orders "
@@ -288,6 +307,14 @@ ORACLES = {
         {sql.top('s')}""",
     "search_field_and": f"""{_FIELD_AND}, s AS (SELECT query_id, doc_id, sum(score) AS score FROM cs
         GROUP BY ALL HAVING count(*) = 2) {sql.top('s')}""",
+    "search_mixed": f"""WITH {sql.papers_cte(_BOTH)}, {sql.clauses_cte(_PARTS)}, {sql.CLAUSE_SCORES},
+        s AS (SELECT query_id, doc_id,
+                     CASE WHEN query_id % 5 = 4 THEN max(score) ELSE sum(score) END AS score
+              FROM cs GROUP BY query_id, doc_id HAVING query_id % 5 <> 3 OR count(*) = 2
+              UNION ALL
+              SELECT item_id, doc_id, 1.0 FROM benchmark JOIN documents
+              ON item_id % 5 = 0 AND DATE '2020-01-01' + CAST(doc_id % 1500 AS INTEGER)
+                 >= make_date(2020 + item_id % 4, 1 + item_id % 9, 1)) {sql.top('s')}""",
     "search_keyword": """SELECT query_id, doc_id FROM documents
         JOIN (SELECT source, min(doc_id) AS query_id FROM documents GROUP BY source) USING (source)""",
     "result_cards": f"""{_ONE}, h AS ({sql.top('cs')})

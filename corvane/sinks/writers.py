@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -62,10 +62,11 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 def load_checked(df: DataFrame, ok: Column, path: str) -> tuple[int, int]:
     """Write the good rows and return (written, refused); bad rows do not stop the load."""
-    flagged = df.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    seen = Observation()
+    flagged = df.withColumn("_ok", F.coalesce(ok, F.lit(False))).observe(
+        seen, F.count_if("_ok").alias("good"), F.count_if(~F.col("_ok")).alias("bad"))
     flagged.filter("_ok").drop("_ok").write.mode("append").parquet(path)
-    row = flagged.agg(F.count_if("_ok").alias("good"), F.count_if(~F.col("_ok")).alias("bad")).first()
-    return row["good"], row["bad"]
+    return seen.get["good"], seen.get["bad"]
 
 
 def run_entry(initial: DataFrame, budget: DataFrame, final: DataFrame, label: str,

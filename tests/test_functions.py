@@ -113,6 +113,7 @@ def test_gauss_and_exact(spark):
     ("cats OR dogs", "should", [], None, None),
     ('title:"a" summary:"b"', "match", [("title", "a")], None, None),
     ("free text", "multi_match", [], None, None),
+    ("published:>=2024-13", "invalid_date", [], None, None),
 ])
 def test_normalise_queries(spark, text, kind, clauses, first, last):
     row = queries.normalise_queries(spark.createDataFrame([(text,)], "query string")).first()
@@ -130,6 +131,12 @@ def test_field_queries(spark, text, valid, n):
     assert (row["valid"], len(row["clauses"])) == (valid, n)
 
 
+@pytest.mark.parametrize("value", ["2024-13", "2024-02-30", "2024-", "20", ""])
+def test_invalid_dates_match_nothing(spark, value):
+    days = spark.createDataFrame([("2024-02-28",)], "d string").select(F.col("d").cast("date").alias("d"))
+    assert [days.filter(queries.date_matches(F.col("d"), op, value)).count() for op in ("=", ">=", "<")] == [0, 0, 0]
+
+
 @pytest.mark.parametrize("op, value, expected", [
     ("=", "2020", [2, 3, 4]), ("=", "2020-12", [3, 4]), ("=", "2020-12-31", [4]), (">", "2020-12-31", [5]),
     (">=", "2020-12", [3, 4, 5]), ("<", "2020", [1]), ("<=", "2020-01-01", [1, 2]),

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 import check_oracle
 
 SF = "/root/testdata/sf0.001"
-QUICK = """search_bm25 search_must search_multi_match search_phrase search_field_and index_postings
+QUICK = """search_bm25 search_must search_multi_match search_phrase search_field_and search_mixed index_postings
 index_term_stats rank_per_query query_normalise date_month_eq html_paragraphs html_tree_counts xml_paragraphs
 xml_tables article_metadata substring_link link_text_blob context_paragraphs title_section_extract
 keep_first_dedup row_id_assign split_70_15_15 sample_fraction balanced_sample block_b2 pair_features

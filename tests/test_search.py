@@ -49,6 +49,23 @@ def test_large_query_set_gives_the_same_scores(spark, index, monkeypatch):
     assert rows() == small
 
 
+@pytest.mark.parametrize("query, found", [
+    ('title:"deep" OR abstract:"sql"', {1, 2}), ('title:"deep" AND abstract:"nets"', {1}), ('title:"sql" maps', {2}),
+    ("maps", {3}), ("cats OR dogs", set()), ('title:"deep" AND venue:"x"', set()),
+    ("published:>=2020-02", {2, 3}), ("published:=2020", {1, 2}), ("published:=2020-02-01", {2}),
+    ("published:>2020-02-01", {3}), ("published:<2020-02-01", {1}), ("published:<=2020-02-01", {1, 2}),
+    ("published:=2020-13", set()), ("published:>=2020-13", set()), ("published:=1999", set()),
+])
+def test_run_by_kind(spark, query, found):
+    days = ["2020-01-05", "2020-02-01", "2021-06-30", None]
+    docs = spark.createDataFrame([(*d, day) for d, day in zip(DOCS, days)],
+                                 "doc_id long, title string, abstract string, day string")
+    asked = spark.createDataFrame([(1, query)], "query_id int, query string")
+    index = search.Index(docs.withColumn("published", F.col("day").cast("date")), FIELDS)
+    hits = search.run(index, asked, "published").collect()
+    assert {r["doc_id"] for r in hits} == found and len(hits) == len(found)
+
+
 @pytest.mark.parametrize("phrase, hits", [
     ("deep deep", {2: 1}), ("the deep sea", {3: 1}), ("deep sea the", {}), ("deep", {1: 1, 2: 2, 3: 1}),
     ("deep unknown", {}),
