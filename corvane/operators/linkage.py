@@ -97,12 +97,6 @@ def suffixed(df: DataFrame, suffix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(c + suffix) for c in df.columns])
 
 
-def side(pairs: DataFrame, suffix: str, leaks: tuple[str, ...] = LEAKS) -> Column:
-    """One entity of a pair row as a struct, without identifying columns."""
-    names = [c[: -len(suffix)] for c in pairs.columns if c.endswith(suffix)]
-    return F.struct(*[F.col(n + suffix).alias(n) for n in names if n not in leaks])
-
-
 def positive_pairs(a: DataFrame, b: DataFrame, key: str = "vin") -> DataFrame:
     left, right = suffixed(a, LEFT), suffixed(b, RIGHT)
     return (left.join(right, F.col(key + LEFT) == F.col(key + RIGHT))

@@ -185,8 +185,8 @@ def block_keys(spark, sf_dir):
 
 def soundex_codes(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    word = F.substring_index("text", " ", 1)
-    return docs.select("doc_id", similarity.soundex(word).alias("code"),
+    words = F.split("text", "[ \t\n]+")
+    return docs.select("doc_id", F.array_join(F.transform(words, similarity.soundex), " ").alias("code"),
                        similarity.soundex(F.col("source")).alias("source_code"))
 
 
@@ -412,7 +412,7 @@ pairs AS (SELECT * FROM pos UNION ALL SELECT * FROM neg)"""
 
 
 def _soundex(expr):
-    up = f"upper({expr})"
+    up = f"upper(replace({expr}, 'ß', 'ss'))"  # the full upper case of ß; upper() here maps single characters only
     joined = f"left({up}, 1) || regexp_replace(substr({up}, 2), '[HW]', '', 'g')"
     codes = (f"translate(regexp_replace({joined}, '[^A-Z]', '0', 'g'), '{similarity.SOUNDEX_LETTERS}', "
              f"'{similarity.SOUNDEX_DIGITS}')")
@@ -548,7 +548,8 @@ ORACLES = {
     "block_keys": f"""{_LIST}, b AS (SELECT * FROM la UNION ALL BY NAME SELECT * FROM lb)
         SELECT row_id, {_sound('')} AS sound_key,
                array_to_string(list_sort({_loose('')}), ',') AS loose_keys FROM b""",
-    "soundex_codes": f"""SELECT doc_id, {_soundex("regexp_extract(text, '^[^ ]*')")} AS code,
+    "soundex_codes": f"""SELECT doc_id, coalesce(array_to_string(list_transform(
+          string_split_regex(text, '[ \t\n]+'), lambda w: {_soundex("w")}), ' '), '') AS code,
         {_soundex('source')} AS source_code FROM documents""",
     "block_b1": f"""{_PAIRS} SELECT {', '.join(_IDS)}, {_B1} AS blocked,
         CASE WHEN {_B1} THEN {_sound(LEFT)} END AS block_key FROM pairs""",

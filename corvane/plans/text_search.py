@@ -64,7 +64,7 @@ def _field_queries(spark, sf_dir):
     text = F.regexp_replace("text", "[,:\n]", " ")
     return qs.field_query_clauses(table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"),
-        F.concat(F.lit("title:"), F.substring_index(text, " ", 1), F.lit(",abstract:"), text)
+        F.concat(F.lit("title:"), text, F.lit(",abstract:"), text)
         .alias("query")))
 
 
@@ -254,7 +254,7 @@ _TWO = f"WITH {sql.papers_cte(_BOTH)}, " \
        f"{sql.CLAUSE_SCORES}"
 _ASKED = "(SELECT item_id AS query_id, regexp_replace(text, '[,:\\n]', ' ', 'g') AS t FROM benchmark)"
 _FIELD_AND = f"""WITH {sql.papers_cte(_BOTH)},
-{sql.clauses_cte({'title': sql.title_tokens("split_part(t, ' ', 1)"),
+{sql.clauses_cte({'title': sql.title_tokens("trim(t)"),
                   'abstract': sql.tokens("trim(t)")}, _ASKED, "query_id")},
 {sql.CLAUSE_SCORES}"""
 _PHRASE = f"""

@@ -67,6 +67,12 @@ def test_substring_links(html_objects, exact, expected):
     assert sorted((r["object_id"], r["paragraph_id"], r["position"]) for r in links.collect()) == expected
 
 
+def test_references_are_decoded(spark):
+    text = """<a class="x ltx_ref" href="#S1&amp;x">1</a><a class='ltx_ref' href='#S2&lt;"'>2</a><a class="y" href="#no">3</a>"""
+    paras = spark.createDataFrame([("p", "q", 1, text)], "paper_id string, paragraph_id string, ordinal int, text string")
+    assert [r["reference"] for r in extraction.html_references(paras).orderBy("position").collect()] == ["S1&x", 'S2<"']
+
+
 def test_referencing_text(html_objects):
     paras = extraction.paragraphs(html_objects)
     tables = html_objects.filter("kind = 'table'").select("paper_id", "object_id")
