@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import wraps
 
-from corvane.plans import corpus, pair_text, record_linkage, text_search
+from corvane.plans import corpus, landed, pair_text, record_linkage, text_search
 from corvane.session import ship_package
 
-MODULES = [text_search, corpus, record_linkage, pair_text]
+MODULES = [text_search, corpus, record_linkage, pair_text, landed]
 
 
 def _shipped(query):

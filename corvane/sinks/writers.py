@@ -1,4 +1,5 @@
-"""One action per output; no append loops."""
+"""One action per output; no append loops.  What a line or an object looks like is a function of
+its own, so it can be used on any table."""
 
 from __future__ import annotations
 
@@ -10,6 +11,11 @@ def csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True, escape='"')
 
 
+def csv_lines(df: DataFrame, out: str = "value") -> DataFrame:
+    """Every row as one CSV line."""
+    return df.select(F.to_csv(F.struct(*df.columns), {"escape": '"'}).alias(out))
+
+
 def lines(df: DataFrame, column: str, path: str, mode: str = "overwrite") -> None:
     df.select(F.col(column).alias("value")).write.mode(mode).text(path)
 
@@ -18,12 +24,22 @@ def jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 
 
-def routed(df: DataFrame, kept: Column, path: str, reason: str | None = None) -> None:
-    """Kept and rejected rows under ``route=kept`` and ``route=rejected``, in one pass."""
+def json_lines(df: DataFrame, out: str = "value") -> DataFrame:
+    """Every row as one JSON object."""
+    return df.select(F.to_json(F.struct(*df.columns)).alias(out))
+
+
+def routes(df: DataFrame, kept: Column, reason: str | None = None) -> DataFrame:
+    """Rows with ``route`` (kept or rejected); a kept row has no reason."""
     out = df.withColumn("route", F.when(kept, "kept").otherwise("rejected"))
     if reason is not None:
-        out = out.withColumn(reason, F.when(~kept, F.col(reason)))
-    out.write.mode("overwrite").partitionBy("route").parquet(path)
+        out = out.withColumn(reason, F.when(F.col("route") == "rejected", F.col(reason)))
+    return out
+
+
+def routed(df: DataFrame, kept: Column, path: str, reason: str | None = None) -> None:
+    """Kept and rejected rows under ``route=kept`` and ``route=rejected``, in one pass."""
+    routes(df, kept, reason).write.mode("overwrite").partitionBy("route").parquet(path)
 
 
 def splits(df: DataFrame, path: str) -> None:
@@ -32,13 +48,17 @@ def splits(df: DataFrame, path: str) -> None:
 
 
 def json_lists(objects: DataFrame, path: str, key: str = "paper_id") -> None:
-    """One line per paper with its objects as a JSON array.  The objects of a paper entered as
-    one file, so a list is bounded by that file."""
+    """One line per paper with its objects as a JSON array."""
+    object_lists(objects, key).write.mode("overwrite").json(path)
+
+
+def object_lists(objects: DataFrame, key: str = "paper_id") -> DataFrame:
+    """key, objects: the objects of a paper as a JSON array.  They entered as one file, so a list
+    is bounded by that file."""
     rest = [c for c in objects.columns if c != "ordinal"]
     packed = objects.groupBy(key).agg(F.array_sort(F.collect_list(
         F.struct("ordinal", F.struct(*rest).alias("o")))).alias("l"))
-    packed.select(key, F.to_json(F.transform("l", lambda x: x["o"])).alias("objects")) \
-        .write.mode("overwrite").json(path)
+    return packed.select(key, F.to_json(F.transform("l", lambda x: x["o"])).alias("objects"))
 
 
 def link_maps(links: DataFrame) -> DataFrame:
@@ -62,10 +82,15 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 def load_checked(df: DataFrame, ok: Column, path: str) -> tuple[int, int]:
     """Write the good rows and return (written, refused); bad rows do not stop the load."""
-    flagged = df.withColumn("_ok", F.coalesce(ok, F.lit(False)))
-    flagged.filter("_ok").drop("_ok").write.mode("append").parquet(path)
-    row = flagged.agg(F.count_if("_ok").alias("good"), F.count_if(~F.col("_ok")).alias("bad")).first()
-    return row["good"], row["bad"]
+    df.filter(F.coalesce(ok, F.lit(False))).write.mode("append").parquet(path)
+    row = load_counts(df, ok).first()
+    return row["written"], row["refused"]
+
+
+def load_counts(df: DataFrame, ok: Column) -> DataFrame:
+    """One row: how many rows a checked load writes and refuses; an unknown verdict refuses."""
+    good = F.coalesce(ok, F.lit(False))
+    return df.agg(F.count_if(good).alias("written"), F.count_if(~good).alias("refused"))
 
 
 def run_entry(initial: DataFrame, budget: DataFrame, final: DataFrame, label: str,

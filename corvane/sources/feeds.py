@@ -19,12 +19,23 @@ RESULT = "page_id string, number int, title string, abstract string"
 
 def atom_entries(spark: SparkSession, path: str) -> DataFrame:
     """paper_id, title, summary, published, authors, link, html_link of every feed entry."""
-    raw = spark.read.format("xml").option("rowTag", "entry").schema(ATOM).load(path)
+    return _entry_columns(spark.read.format("xml").option("rowTag", "entry").schema(ATOM).load(path), [])
+
+
+def atom_rows(feeds: DataFrame, column: str = "value") -> DataFrame:
+    """As atom_entries, from a column of whole feeds."""
+    entries = F.regexp_extract_all(F.col(column), F.lit(r"(?s)<entry\b.*?</entry>"), F.lit(0))
+    rest = [c for c in feeds.columns if c != column]
+    raw = feeds.select(*rest, F.explode(entries).alias("_e"))
+    return _entry_columns(raw.select(*rest, F.from_xml("_e", ATOM).alias("_x")).select(*rest, "_x.*"), rest)
+
+
+def _entry_columns(raw: DataFrame, rest: list[str]) -> DataFrame:
     alternate = F.get(F.filter("link", lambda x: x["_rel"] == "alternate"), F.lit(0))["_href"]
     text = lambda c: F.coalesce(cleaning.strip(F.col(c)), F.lit(""))
     link = F.coalesce(alternate, F.lit(""))
     return raw.select(
-        F.element_at(F.split(text("id"), "/"), -1).alias("paper_id"),
+        *rest, F.element_at(F.split(text("id"), "/"), -1).alias("paper_id"),
         text("title").alias("title"), text("summary").alias("summary"),
         text("published").alias("published"),
         F.coalesce(F.transform("author", lambda a: a["name"]), F.array().cast("array<string>"))
