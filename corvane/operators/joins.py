@@ -6,20 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
-BROADCAST_ROWS = 200_000  # limit for sending a table to every task
+QUERY_BYTES = 256 << 20  # limit of a stated query set that is sent to every task, as JSON text
 
 
-def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a table is small enough to be sent to every task; counts at most limit + 1 rows."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def lookup(big: DataFrame, small: DataFrame, on: list[str], spread: list[str]) -> DataFrame:
-    """Inner join with a lookup table: broadcast when counted as small, salted otherwise.  Pass a
-    stored table, since it is counted first."""
-    if few_rows(small):
-        return big.join(F.broadcast(small), on)
-    return salted_lookup(big, small, on, spread)
+def checked(df: DataFrame, limit: int = QUERY_BYTES) -> DataFrame:
+    """``df`` as long as its rows, written as JSON, have at most ``limit`` bytes; else the query
+    that uses it fails with a message.  What passes may be sent to every task."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).scalar()
+    too_large = F.raise_error(F.concat(F.lit(f"over {limit} bytes to broadcast: "), size.cast("string")))
+    return df.filter(F.when(size > limit, too_large).otherwise(F.lit(True)))
 
 
 def salted_lookup(big: DataFrame, small: DataFrame, on: list[str], spread: list[str],
@@ -39,17 +34,19 @@ def salted_lookup(big: DataFrame, small: DataFrame, on: list[str], spread: list[
     return joined if flag is None else joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
-def equi_match(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str,
-               null_safe: bool = False) -> DataFrame:
-    """Match table of two sources on an equal key, as id pairs.
-
-    ``null_safe`` lets missing keys match each other, as the data-frame merge of the source
-    pipeline does; the default drops them.
-    """
+def equi_match(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str) -> DataFrame:
+    """Match table of two sources on an equal key, as id pairs; missing keys match nothing."""
     a = left.select(F.col(key).alias("_ka"), F.col(left_id))
     b = right.select(F.col(key).alias("_kb"), F.col(right_id))
-    same = F.col("_ka").eqNullSafe(F.col("_kb")) if null_safe else F.col("_ka") == F.col("_kb")
-    return a.join(b, same).select(left_id, right_id)
+    return a.join(b, F.col("_ka") == F.col("_kb")).select(left_id, right_id)
+
+
+def missing_key_pairs(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """One row: how many rows of either side have no key, and how many pairs a merge that lets
+    missing keys match each other would add.  The pairs themselves are all of one side with all
+    of the other, so they are only counted."""
+    n = [side.agg(F.count_if(F.col(key).isNull()).alias(out)) for side, out in ((left, "n_left"), (right, "n_right"))]
+    return n[0].select("n_left", n[1].scalar().alias("n_right")).withColumn("pairs", F.col("n_left") * F.col("n_right"))
 
 
 def zip_rows(left: DataFrame, right: DataFrame, rank: str) -> DataFrame:
@@ -69,9 +66,10 @@ def complete_papers(papers: DataFrame, key: str, *parts: DataFrame) -> DataFrame
     return papers
 
 
-def attach_metadata(content: DataFrame, metadata: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Content joined with its metadata, and the content left without any."""
-    return content.join(metadata, key), content.join(metadata.select(key), key, "left_anti")
+def attach_metadata(content: DataFrame, metadata: DataFrame, key: str, found: str = "found") -> DataFrame:
+    """Content with its metadata; ``found`` tells which rows have any."""
+    joined = content.join(metadata.withColumn(found, F.lit(True)), key, "left")
+    return joined.withColumn(found, F.coalesce(found, F.lit(False)))
 
 
 def true_labels(pairs: DataFrame, match_table: DataFrame, left_id: str, right_id: str,

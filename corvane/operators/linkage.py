@@ -265,15 +265,26 @@ def fit_matcher(features: DataFrame, names: list[str], path: str | None = None)
     return model
 
 
+def with_verdict(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Add the predicted label and the confidence in that label to ``match_probability``."""
+    p, predicted = F.col("match_probability"), F.col("predicted")
+    return (scored.withColumn("predicted", (p > threshold).cast("int"))
+            .withColumn("match_confidence", F.when(predicted == 1, p).otherwise(1 - p)))
+
+
 def learned_match(model: PipelineModel, features: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Add probability of a match, predicted label and the confidence in that label."""
     p = F.get(vector_to_array("probability"), F.lit(1))
     scored = model.transform(features).withColumn("match_probability", p)
-    predicted = (F.col("match_probability") > threshold).cast("int")
-    return (scored.withColumn("predicted", predicted)
-            .withColumn("match_confidence", F.when(F.col("predicted") == 1, F.col("match_probability"))
-                        .otherwise(1 - F.col("match_probability")))
-            .drop("features", "rawPrediction", "probability", "prediction"))
+    return with_verdict(scored, threshold).drop("features", "rawPrediction", "probability", "prediction")
+
+
+def weighted_match(features: DataFrame, weights: dict[str, float], intercept: float, threshold: float = 0.5) -> DataFrame:
+    """As learned_match, with the weights of a published model: no fit, no model file."""
+    z = F.lit(intercept)
+    for name, weight in weights.items():
+        z = z + F.col(name) * weight
+    return with_verdict(features.withColumn("match_probability", 1 / (1 + F.exp(-z))), threshold)
 
 
 # --- evaluation ------------------------------------------------------------------------------

@@ -96,6 +96,9 @@ def split_three(df: DataFrame, keys: list[str], train: float = 0.7, valid: float
 def first_n(df: DataFrame, keys: list[str], n: Column | int, seed: int = 42,
             within: list[str] | None = None) -> DataFrame:
     """n rows without replacement (per group), in hash order."""
+    if isinstance(n, int) and not within:
+        hashed = df.withColumn("_h", hash_order(keys, seed))
+        return hashed.orderBy("_h", *keys).limit(n).drop("_h")
     limit = n if isinstance(n, Column) else F.lit(n)
     ranked = with_shuffle_rank(df, keys, "_rank", seed, within)
     return ranked.filter(F.col("_rank") <= limit).drop("_rank")

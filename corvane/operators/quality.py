@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import cleaning
 from corvane.functions.binding import occurrence_runs, token_counts
-from corvane.operators.joins import lookup, salted_lookup
+from corvane.operators.joins import salted_lookup
 from corvane.operators.pairtext import VOCAB_PATTERN, split_line
 from corvane.session import materialise
 
@@ -89,7 +89,7 @@ def dictionary_scores(texts: DataFrame, id_col: str, text: Column, frequencies:
     words = texts.select(F.col(id_col).alias("id"), alphabetic(text).alias("w"))
     counted = (words.select("id", F.inline_outer(token_counts(F.col("w")))).filter(F.col("term").isNotNull())
                .select("id", F.col("term").alias("word"), F.col("tf").alias("n")))
-    found = (lookup(counted, frequencies.filter("zipf > 0"), ["word"], ["id"])
+    found = (salted_lookup(counted, frequencies.filter("zipf > 0"), ["word"], ["id"])
              .groupBy("id").agg(F.sum("n").alias("hits"), F.sum(F.col("n") * F.col("zipf")).alias("z")))
     sizes = words.select("id", F.size("w").cast("long").alias("n_words"))
     return (sizes.join(found, "id", "left").select(
@@ -200,9 +200,8 @@ def judge(features: DataFrame, thresholds: DataFrame, originals: DataFrame | Non
     if originals is None:
         marked = features.withColumn("original", F.lit(False))
     else:
-        known = originals.select("line_md5").distinct()
-        marked = salted_lookup(features, known, ["line_md5"], ["id"], how="left",
-                               flag="original")
+        known = originals.select("line_md5").distinct().withColumn("original", F.lit(True))
+        marked = features.join(known, "line_md5", "left").withColumn("original", F.coalesce("original", F.lit(False)))
     none = F.array().cast("array<string>")
     reasons = (F.when(F.col("original"), none).when(F.col("label").isNull(), F.array(F.lit("bad_format")))
                .when(F.col("label") == "1", found).otherwise(none))

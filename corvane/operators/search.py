@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from corvane.functions.analysis import ANALYZERS
 from corvane.functions.binding import token_counts, token_places
 from corvane.functions.queries import explode_clauses, normalise_queries
-from corvane.operators.joins import few_rows, salted_lookup
+from corvane.operators.joins import QUERY_BYTES, checked, salted_lookup
 
 K1 = 1.2
 B = 0.75
@@ -105,17 +105,19 @@ def query_terms(clauses: DataFrame, analyzers: dict[str, str]) -> DataFrame:
             .groupBy("query_id", "clause", "field", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
 
-def clause_scores(index: Index, terms: DataFrame) -> DataFrame:
+def clause_scores(index: Index, terms: DataFrame, query_bytes: int | None = QUERY_BYTES) -> DataFrame:
     """Score of every clause in every document holding one of its terms:
     query_id, clause, field, doc_id, score.
 
     Only counts of asked terms leave the scan.  They are partitioned by document before the
     queries are joined in, so (query, document) rows are summed where they arise and are not
-    shuffled.  A query set over the broadcast limit is joined with salted terms instead.
+    shuffled.  Query terms are sent to every task; more than ``query_bytes`` of them are refused.
+    None takes any number: they are joined with salted terms.
     """
-    small = few_rows(terms)
+    few = query_bytes is not None
+    terms = checked(terms, query_bytes) if few else terms
     asked = terms.select("field", "term").distinct()
-    if small:
+    if few:
         counts = index.counts().join(F.broadcast(asked), ["field", "term"], "left_semi")
     else:
         counts = salted_lookup(index.counts(), asked, ["field", "term"], ["doc_id"])
@@ -125,7 +127,7 @@ def clause_scores(index: Index, terms: DataFrame) -> DataFrame:
                .join(terms, ["field", "term"])
                .select("field", "term", "query_id", "clause", "avg_dl",
                        (F.col("qtf") * idf(F.col("n_docs"), F.col("df"))).alias("w")))
-    if small:
+    if few:  # one row per checked term
         matched = counts.join(F.broadcast(weights), ["field", "term"])
     else:
         matched = salted_lookup(counts, weights, ["field", "term"], ["doc_id"])
@@ -215,12 +217,13 @@ def hit_report(scores: DataFrame, queries: DataFrame) -> DataFrame:
             .withColumn("total_hits", F.coalesce("total_hits", F.lit(0))))
 
 
-def phrase_matches(index: Index, phrases: DataFrame, analyzers: dict[str, str]) -> DataFrame:
+def phrase_matches(index: Index, phrases: DataFrame, analyzers: dict[str, str],
+                   query_bytes: int | None = QUERY_BYTES) -> DataFrame:
     """Exact phrases at consecutive positions: query_id, clause, field, doc_id, tf, dl, idf.
 
     ``phrases`` is query_id, clause, field, text.  The rarest term of a phrase proposes start
     positions; every other term must then be found at its place.  So the work follows the rarest
-    term, also when the other terms stand in every document.
+    term, also when the other terms stand in every document.  ``query_bytes`` as in clause_scores.
     """
     tokens = None
     for name, analyzer in analyzers.items():
@@ -231,7 +234,8 @@ def phrase_matches(index: Index, phrases: DataFrame, analyzers: dict[str, str])
               .select("query_id", "clause", "field", F.size("tokens").alias("n"),
                       F.posexplode_outer("tokens").alias("offset", "term"))
               .filter(F.col("term").isNotNull()))
-    sent = F.broadcast if few_rows(places) else (lambda df: df)
+    sent = F.broadcast if query_bytes is not None else (lambda df: df)
+    places = checked(places, query_bytes) if query_bytes is not None else places
     asked = sent(places.select("field", "term").distinct())
     known = (index.counts().join(asked, ["field", "term"], "left_semi")
              .groupBy("field", "term")

@@ -1,8 +1,7 @@
-"""Similarity join of dense vectors: exact top-k and exact threshold, in bounded blocks."""
+"""Similarity of a set of query vectors with a large table of vectors: exact top-k, exact threshold."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,10 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_PIVOTS = 256     # pivots are the only vectors that reach the driver
-BLOCK_ROWS = 20_000  # vectors of one side in one task
-SIM_DIGITS = 6       # similarities are compared at this precision
-SLACK = 2e-3         # angle slack: similarities equal after rounding differ by less
+from corvane.operators.joins import QUERY_BYTES, checked
+
+BLOCK_ROWS = 512  # vectors of one side that are multiplied at a time
+SIM_DIGITS = 6    # similarities are compared at this precision
+SALTS = 256
 
 
 def unit(vector: Column) -> Column:
@@ -24,113 +24,60 @@ def unit(vector: Column) -> Column:
     return F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(v)
 
 
-def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(vectors @ pivots.T, -1.0, 1.0))
+def _blocks(df: DataFrame, id_col: str, vector: str, rows: int) -> DataFrame:
+    """n, ids, m: vectors of length 1 packed into matrices of at most ``rows`` rows.  A zero vector
+    has no direction, so no cosine with anything, and is left out."""
+    named = (df.select(F.col(id_col).alias("id"), unit(F.col(vector)).alias("v"))
+             .filter(F.exists("v", lambda x: x != 0)))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), rows):
+                part = pdf.iloc[at:at + rows]
+                matrix = np.stack(part["v"].to_numpy()).astype("float64")
+                yield pd.DataFrame({"n": [len(part)], "ids": [part["id"].to_numpy()], "m": [matrix.tobytes()]})
 
+    return named.mapInPandas(pack, f"n int, ids array<{dict(named.dtypes)['id']}>, m binary")
 
-def similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, vector: str,
+
+def similarity_join(vectors: DataFrame, queries: DataFrame, left_id: str, right_id: str, vector: str,
                     k: int | None = None, threshold: float | None = None,
-                    block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """left_id, right_id, similarity: the k most similar left rows of every right row, or all
-    pairs with cosine similarity at or above the threshold.
-
-    Left vectors are put in cells around pivots and cells are cut into blocks of bounded size.  A
-    right vector visits only the cells that the triangle inequality of angles cannot rule out, so
-    the result is exact.  A task multiplies one left block with one right block and keeps only
-    hits (at most k per right row).
+                    block_rows: int = BLOCK_ROWS, query_bytes: int | None = QUERY_BYTES) -> DataFrame:
+    """left_id, right_id, similarity: the k most similar vectors of every query (ties by id), or
+    all pairs with cosine similarity at or above the threshold.
+
+    The large side is read once and packed into blocks; every block meets every block of the query
+    set, and a task keeps at most k hits per query of a product.  Queries are sent to every task;
+    more than ``query_bytes`` of them are refused.  None takes any number: the blocks of vectors are
+    dealt over salts, the query blocks are shuffled to each salt.
     """
     if (k is None) == (threshold is None):
         raise ValueError("give either k or threshold")
-    # a zero vector has no direction, so no cosine with anything
-    lefts, rights = (
-        side.select(F.col(name).alias("id"), unit(F.col(vector)).alias("v"))
-        .filter(F.exists("v", lambda x: x != 0)) for side, name in ((left, left_id), (right, right_id)))
-    n_left, n_right = lefts.count(), rights.count()
-    n_pivots = max(1, min(MAX_PIVOTS, math.isqrt(max(n_left, 1)) // 4))
-    picked = lefts.orderBy(F.xxhash64("id"), "id").limit(n_pivots).collect()
-    id_types = dict(lefts.dtypes)["id"], dict(rights.dtypes)["id"]
-    out_schema = f"left_id {id_types[0]}, right_id {id_types[1]}, similarity double"
-    if not picked:
-        return left.sparkSession.createDataFrame([], out_schema)
-    pivots = np.array([row["v"] for row in picked], dtype="float64")
-
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                angle = _angles(np.stack(pdf["v"].to_numpy()), pivots)
-                cell = angle.argmin(axis=1)
-                yield pdf.assign(cell=cell.astype("int32"), angle=angle[np.arange(len(pdf)), cell])
-
-    placed = lefts.mapInPandas(nearest, f"id {id_types[0]}, v array<double>, cell int, angle double")
-    # one row per pivot
-    cells = {r["cell"]: r for r in placed.groupBy("cell").agg(
-        F.max("angle").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
-    order = sorted(cells)
-    radius = np.array([cells[c]["radius"] for c in order])
-    count = np.array([cells[c]["n"] for c in order])
-    n_blocks = np.maximum(1, -(-count // block_rows))
-    base = np.concatenate([[0], np.cumsum(n_blocks)[:-1]])
-    centers = pivots[order]
-    n_right_blocks = max(1, -(-n_right // block_rows))
-
-    first = F.create_map(*[x for c, b in zip(order, base) for x in (F.lit(c), F.lit(int(b)))])
-    width = F.create_map(*[x for c, w in zip(order, n_blocks) for x in (F.lit(c), F.lit(int(w)))])
-    left_blocks = placed.select(
-        "id", "v", (first[F.col("cell")]
-                    + F.pmod(F.xxhash64("id"), width[F.col("cell")])).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_right_blocks - 1))).alias("right_block"))
-
-    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    lefts = _blocks(vectors, left_id, vector, block_rows)
+    asked = _blocks(queries, right_id, vector, block_rows).toDF("qn", "qids", "qm")
+    if query_bytes is not None:
+        pairs = lefts.join(F.broadcast(checked(asked, query_bytes)))
+    else:
+        salted = asked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        pairs = lefts.withColumn("_salt", F.pmod(F.xxhash64("ids"), F.lit(SALTS)).cast("int")).join(salted, "_salt")
+
+    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if not len(pdf):
-                continue
-            angle = _angles(np.stack(pdf["v"].to_numpy()), centers)
-            if threshold is not None:
-                reach = np.full(len(pdf), math.acos(min(1.0, max(-1.0, threshold))))
-            else:
-                # the cells with the smallest far ends hold k rows within this angle
-                far = angle + radius
-                rank = far.argsort(axis=1)
-                covered = count[rank].cumsum(axis=1)
-                last = np.minimum((covered < k).sum(axis=1), len(order) - 1)
-                reach = np.take_along_axis(far, rank, 1)[np.arange(len(pdf)), last]
-            keep = angle - radius <= reach[:, None] + SLACK
-            blocks = [np.concatenate([np.arange(base[c], base[c] + n_blocks[c])
-                                      for c in np.flatnonzero(row)] or [np.array([], int)])
-                      for row in keep]
-            yield pdf.assign(blocks=[b.astype("int32") for b in blocks])
-
-    right_blocks = (rights.mapInPandas(candidates, f"id {id_types[1]}, v array<double>, blocks array<int>")
-                    .select("id", "v", F.explode("blocks").alias("block"),
-                            F.pmod(F.xxhash64("id"), F.lit(n_right_blocks)).cast("int")
-                            .alias("right_block")))
-
-    def multiply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"left_id": [], "right_id": [], "similarity": []})
-        a = a.sort_values("id", ignore_index=True)
-        mat_a = np.stack(a["v"].to_numpy())
-        ids_a, ids_b = a["id"].to_numpy(), b["id"].to_numpy()
-        found_a, found_b, found_s = [], [], []
-        step = max(1, 4_000_000 // len(a))  # at most 32 MB of similarities at a time
-        for at in range(0, len(b), step):
-            sims = np.round(np.stack(b["v"].to_numpy()[at:at + step]) @ mat_a.T, SIM_DIGITS)
-            if threshold is not None:
-                rows, cols = np.nonzero(sims >= threshold)
-            else:
-                top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-                rows = np.repeat(np.arange(len(sims)), top.shape[1])
-                cols = top.ravel()
-            found_a.append(ids_a[cols])
-            found_b.append(ids_b[at + rows])
-            found_s.append(sims[rows, cols])
-        return pd.DataFrame({"left_id": np.concatenate(found_a), "right_id": np.concatenate(found_b),
-                             "similarity": np.concatenate(found_s)})
-
-    hits = (left_blocks.groupBy("block", "right_block")
-            .cogroup(right_blocks.groupBy("block", "right_block"))
-            .applyInPandas(multiply, out_schema))
-    if k is not None:
-        best = W.partitionBy("right_id").orderBy(F.desc("similarity"), "left_id")
-        hits = hits.withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= k).drop("_rn")
-    return hits
+            for n, ids, m, qn, qids, qm in pdf[["n", "ids", "m", "qn", "qids", "qm"]].itertuples(index=False):
+                order = np.argsort(ids, kind="stable")
+                ids = np.asarray(ids)[order]
+                sims = np.round(np.frombuffer(qm).reshape(qn, -1) @ np.frombuffer(m).reshape(n, -1)[order].T, SIM_DIGITS)
+                if threshold is not None:
+                    rows, cols = np.nonzero(sims >= threshold)
+                else:
+                    cols = np.argsort(-sims, axis=1, kind="stable")[:, :k].ravel()
+                    rows = np.repeat(np.arange(qn), min(k, n))
+                yield pd.DataFrame({"left_id": ids[cols], "right_id": np.asarray(qids)[rows],
+                                    "similarity": sims[rows, cols]})
+
+    types = [dict(side.dtypes)[name] for side, name in ((vectors, left_id), (queries, right_id))]
+    hits = pairs.mapInPandas(multiply, f"left_id {types[0]}, right_id {types[1]}, similarity double")
+    if k is None:
+        return hits
+    best = W.partitionBy("right_id").orderBy(F.desc("similarity"), "left_id")
+    return hits.withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= k).drop("_rn")

@@ -195,9 +195,7 @@ def first_filled_key(spark, sf_dir):
 def metadata_join(spark, sf_dir):
     docs = papers(spark, sf_dir).select("doc_id", "title")
     meta = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("long").alias("quality"))
-    joined, missing = joins.attach_metadata(docs, meta, "doc_id")
-    return joined.unionByName(missing, allowMissingColumns=True).withColumn(
-        "found", F.col("quality").isNotNull())
+    return joins.attach_metadata(docs, meta, "doc_id")
 
 
 def complete_papers(spark, sf_dir):

@@ -263,10 +263,11 @@ def threshold_best(spark, sf_dir):
 
 
 def threshold_verified(spark, sf_dir):
-    scored = _scored(spark, sf_dir)
-    best = linkage.best_threshold(linkage.threshold_sweep(scored, "p"))
+    """The threshold is chosen on the valid split and verified on the test split."""
+    split = ordinals.split_three(_scored(spark, sf_dir), list(_IDS))
+    best = linkage.best_threshold(linkage.threshold_sweep(split.filter("split = 'valid'"), "p"))
     cut = best.select("threshold").scalar()
-    return _rounded(linkage.confusion(scored, F.col("p") > cut, F.col(LABEL) == 1),
+    return _rounded(linkage.confusion(split.filter("split = 'test'"), F.col("p") > cut, F.col(LABEL) == 1),
                     "precision", "recall", "f1")
 
 
@@ -287,19 +288,37 @@ def best_checkpoint(spark, sf_dir):
     return _flat(linkage.best_so_far(_series(spark, sf_dir), "run", "step", "f1", "t_f1"))
 
 
-def pair_lr_match(spark, sf_dir):
-    features, names = linkage.learned_features(_pairs(spark, sf_dir).select(
+def _learned(spark, sf_dir):
+    return linkage.learned_features(_pairs(spark, sf_dir).select(
         *_IDS, LABEL, *[f + s for s in (LEFT, RIGHT) for f in (
             "manufacturer", "model", "year", "price", "fuel_type", "color", "body_type")]))
-    features = materialise(features)
-    sample = materialise(ordinals.balanced_sample(features, list(_IDS), LABEL))
+
+
+def pair_lr_match(spark, sf_dir):
+    """Fitted on a balanced sample of the train split, scored on the other two."""
+    features, names = _learned(spark, sf_dir)
+    split = materialise(ordinals.split_three(features, list(_IDS)))
+    sample = ordinals.balanced_sample(split.filter("split = 'train'"), list(_IDS), LABEL)
     model = linkage.fit_matcher(sample, names)
-    return linkage.learned_match(model, features).select(
-        *_IDS, LABEL, "match_probability", "predicted", "match_confidence")
+    return linkage.learned_match(model, split.filter("split <> 'train'")).select(
+        *_IDS, LABEL, "split", "match_probability", "predicted", "match_confidence")
 
 
 def pair_lr_eval(spark, sf_dir):
-    return linkage.confusion(pair_lr_match(spark, sf_dir), F.col("predicted") == 1, F.col(LABEL) == 1)
+    return linkage.confusion(pair_lr_match(spark, sf_dir).filter("split = 'test'"), F.col("predicted") == 1,
+                             F.col(LABEL) == 1)
+
+
+# Weights of the matcher that is not fitted.
+WEIGHTS = {"dist_manufacturer": -3.0, "dist_model": -9.0, "dist_year": -2.5, "dist_price": -1.5,
+           "miss_manufacturer": -0.5, "miss_model": -1.0}
+INTERCEPT = 4.0
+
+
+def pair_weighted_match(spark, sf_dir):
+    scored = linkage.weighted_match(_learned(spark, sf_dir)[0], WEIGHTS, INTERCEPT)
+    return _rounded(scored.select(*_IDS, "match_probability", F.col("predicted").cast("long").alias("predicted"),
+                                  "match_confidence"), "match_probability", "match_confidence")
 
 
 def learned_distances(spark, sf_dir):
@@ -325,14 +344,21 @@ def unit_normalise(spark, sf_dir):
                        F.round(F.get("u", F.lit(63)), 6).alias("last"))
 
 
-def vector_topk(spark, sf_dir):
+def _centres(spark, sf_dir):
+    """One query vector per label: the mean of its vectors."""
     e = table(spark, sf_dir, "embeddings")
-    return vectors.similarity_join(e, e, "vec_id", "vec_id", "embedding", k=10)
+    mean = F.array(*[F.avg(F.get("embedding", F.lit(i)).cast("double")) for i in range(64)])
+    return e.groupBy("label").agg(mean.alias("embedding"))
+
+
+def vector_topk(spark, sf_dir):
+    return vectors.similarity_join(table(spark, sf_dir, "embeddings"), _centres(spark, sf_dir), "vec_id", "label",
+                                   "embedding", k=10)
 
 
 def vector_threshold(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings")
-    return vectors.similarity_join(e, e, "vec_id", "vec_id", "embedding", threshold=0.6)
+    return vectors.similarity_join(table(spark, sf_dir, "embeddings"), _centres(spark, sf_dir), "vec_id", "label",
+                                   "embedding", threshold=0.2)
 
 
 def text_normalise(spark, sf_dir):
@@ -350,6 +376,7 @@ QUERIES = {f.__name__: f for f in (
     page_window, block_keys, soundex_codes, block_b1, block_b2, block_eval, block_sizes,
     pair_features, jaro_winkler_names, pair_rule_match, pair_rule_eval, threshold_curve,
     threshold_best, threshold_verified, best_epoch, best_checkpoint, pair_lr_match, pair_lr_eval,
+    pair_weighted_match,
     learned_distances, truth_lookup, unit_normalise, vector_topk, vector_threshold, text_normalise)}
 
 
@@ -485,6 +512,15 @@ sw AS (SELECT threshold, tp, fp, fn, tn, {_prf()} FROM (SELECT threshold,
       CAST(count(*) FILTER (p <= threshold AND {LABEL} = 1) AS BIGINT) AS fn,
       CAST(count(*) FILTER (p <= threshold AND {LABEL} = 0) AS BIGINT) AS tn
       FROM sc CROSS JOIN th GROUP BY threshold) c)"""
+_SPLIT = f"""{_SCORED}, nb AS (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY
+    md5('42|' || {_IDS[0]} || '|' || {_IDS[1]}), {_IDS[0]}, {_IDS[1]}) AS rn FROM sc),
+sp AS (SELECT *, CASE WHEN rn <= floor(0.7 * n) THEN 'train' WHEN rn <= floor(0.7 * n) + floor(0.15 * n) THEN 'valid'
+       ELSE 'test' END AS split FROM nb),
+th AS (SELECT unnest(range(20)) / 20.0::DOUBLE AS threshold),
+va AS (SELECT threshold, tp, fp, fn, {_prf()} FROM (SELECT threshold, count(*) FILTER (p > threshold AND {LABEL} = 1) AS tp,
+       count(*) FILTER (p > threshold AND {LABEL} = 0) AS fp, count(*) FILTER (p <= threshold AND {LABEL} = 1) AS fn
+       FROM sp CROSS JOIN th WHERE split = 'valid' GROUP BY threshold) c),
+te AS (SELECT * FROM sp WHERE split = 'test')"""
 _SERIES = """WITH s AS (SELECT event_type AS run, date_diff('day', DATE '2024-01-01', ts::DATE) AS step,
   round(avg(value) / 100, 4) AS f1, round(max(value) / 1000, 4) AS t_f1 FROM events GROUP BY ALL)"""
 
@@ -497,10 +533,11 @@ def _dist(f):
 _DISTANCES = {f: _dist(f) for f in linkage.LEARNED_STRINGS + linkage.LEARNED_SHORT}
 _DISTANCES["year"] = f"CAST(year{LEFT} <> year{RIGHT} AS DOUBLE)"
 _DISTANCES["price"] = f"abs(log10(price{LEFT}) - log10(price{RIGHT}))"
-_COSINE = """WITH u AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
-n AS (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS v FROM u),
-s AS (SELECT a.vec_id AS left_id, b.vec_id AS right_id,
-             round(list_inner_product(a.v, b.v), 6) AS similarity FROM n a CROSS JOIN n b)"""
+_COSINE = """WITH u AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+x AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM u),
+c AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, avg(x) AS x FROM x GROUP BY ALL) y GROUP BY label),
+s AS (SELECT vec_id AS left_id, c.label AS right_id, round(list_inner_product(v, c)
+             / sqrt(list_inner_product(v, v)) / sqrt(list_inner_product(c, c)), 6) AS similarity FROM u CROSS JOIN c)"""
 _TEXT_ID = "CASE WHEN {0} % 9 <> 0 THEN {0} END"
 
 ORACLES = {
@@ -573,8 +610,14 @@ ORACLES = {
     "pair_rule_eval": f"{_CMP}, b AS (SELECT * FROM cmp WHERE {_COMMON} > 0) {_confusion('b', 'score >= 5.0')}",
     "threshold_curve": f"{_SWEEP} SELECT threshold, tp, fp, fn, tn, precision, recall, f1 FROM sw",
     "threshold_best": f"{_SWEEP} SELECT threshold, f1 FROM sw ORDER BY f1 DESC, threshold LIMIT 1",
-    "threshold_verified": f"""{_SWEEP} SELECT tp, fp, fn, tn, precision, recall, f1 FROM sw
-        ORDER BY f1 DESC, threshold LIMIT 1""",
+    "threshold_verified": f"""{_SPLIT} {_confusion('te',
+        'p > (SELECT threshold FROM va ORDER BY f1 DESC, threshold LIMIT 1)')}""",
+    "pair_weighted_match": f"""{_PAIRS}, z AS (SELECT {', '.join(_IDS)}, 1 / (1 + exp(-({INTERCEPT} {' '.join(
+        f"+ ({w}) * " + (f'coalesce({_DISTANCES[n[5:]]}, 0.0)' if n.startswith('dist') else
+                         f'CAST(({_DISTANCES[n[5:]]}) IS NULL AS INTEGER)')
+        for n, w in WEIGHTS.items())}))) AS p FROM pairs)
+        SELECT {', '.join(_IDS)}, round(p, 6) AS match_probability, CAST(p > 0.5 AS BIGINT) AS predicted,
+               round(greatest(p, 1 - p), 6) AS match_confidence FROM z""",
     "best_epoch": f"""{_SERIES}, b AS (SELECT run, row_number() OVER (PARTITION BY run
           ORDER BY f1 DESC, step) AS r, step, f1, t_f1 FROM s WHERE step >= 5 AND f1 > 0)
         SELECT run, CAST(b.step AS BIGINT) AS best_step, coalesce(b.f1, 0.0) AS best_dev,
@@ -598,7 +641,7 @@ ORACLES = {
                round(v[64] / sqrt(list_inner_product(v, v)), 6) AS last FROM u""",
     "vector_topk": f"""{_COSINE} SELECT left_id, right_id, similarity FROM (SELECT *, row_number() OVER
         (PARTITION BY right_id ORDER BY similarity DESC, left_id) AS r FROM s) x WHERE r <= 10""",
-    "vector_threshold": f"{_COSINE} SELECT left_id, right_id, similarity FROM s WHERE similarity >= 0.6",
+    "vector_threshold": f"{_COSINE} SELECT left_id, right_id, similarity FROM s WHERE similarity >= 0.2",
     "text_normalise": f"""WITH {_RAW} SELECT k AS p_partkey, lower(manufacturer) AS brand,
         CASE WHEN k % 8 <> 0 THEN round(price, 2) END AS price FROM rb""",
 }

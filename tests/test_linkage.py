@@ -73,7 +73,7 @@ def test_match_table_null_keys(spark):
     a = spark.createDataFrame([("v", 1), (None, 2)], "vin string, ia int")
     b = spark.createDataFrame([("v", 3), (None, 4)], "vin string, ib int")
     assert joins.equi_match(a, b, "vin", "ia", "ib").collect() == [(1, 3)]
-    assert sorted(joins.equi_match(a, b, "vin", "ia", "ib", null_safe=True).collect()) == [(1, 3), (2, 4)]
+    assert joins.missing_key_pairs(a, b.union(b), "vin").collect() == [(1, 2, 2)]
 
 
 def pair(spark, **sides):
@@ -156,7 +156,8 @@ def test_learned_matcher_saved_and_reused(spark, tmp_path):
     assert first.filter("match_confidence < 0.5").count() == 0
 
 
-@pytest.mark.parametrize("how", [{"k": 7}, {"threshold": 0.35}])
+@pytest.mark.parametrize("how", [{"k": 7}, {"threshold": 0.35}, {"k": 7, "query_bytes": None},
+                                 {"threshold": 0.35, "query_bytes": None}])
 def test_vector_join_against_brute_force(spark, how):
     rng = np.random.default_rng(3)
     mats = [rng.normal(size=(n, 6)) + 0.5 for n in (400, 150)]
@@ -176,6 +177,20 @@ def test_vector_join_against_brute_force(spark, how):
     assert {(r["left_id"], r["right_id"]) for r in got.collect()} == want
 
 
+def test_too_many_queries_to_broadcast(spark):
+    frame = spark.createDataFrame([(1, [1.0, 0.0])], "a long, v array<double>")
+    with pytest.raises(Exception, match="bytes to broadcast"):
+        vectors.similarity_join(frame, frame.withColumnRenamed("a", "b"), "a", "b", "v", k=1, query_bytes=5).collect()
+    none = frame.filter("a > 1").withColumnRenamed("a", "b")
+    assert vectors.similarity_join(frame, none, "a", "b", "v", k=1).collect() == []
+
+
+def test_first_n_is_the_head_of_the_shuffle(numbers):
+    ranked = ordinals.with_shuffle_rank(numbers, ["id"])
+    assert sorted(ordinals.first_n(numbers, ["id"], 20).collect()) == sorted(
+        ranked.filter("rank <= 20").drop("rank").collect())
+
+
 def test_unit(spark):
     row = spark.createDataFrame([([3.0, 4.0], [0.0])], "a array<double>, b array<double>").select(
         vectors.unit(F.col("a")), vectors.unit(F.col("b"))).first()

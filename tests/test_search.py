@@ -40,13 +40,13 @@ def test_boolean_and_best_field(spark, index):
     assert best[1] < total[1] and best[2] == total[2]
 
 
-def test_large_query_set_gives_the_same_scores(spark, index, monkeypatch):
+def test_large_query_set_gives_the_same_scores(spark, index):
     terms = search.query_terms(ask(spark, ("title", "deep maps"), ("abstract", "deep sql the")), FIELDS)
-    rows = lambda: sorted((r["doc_id"], r["clause"], round(r["score"], 9))
-                          for r in search.clause_scores(index, terms).collect())
-    small = rows()
-    monkeypatch.setattr(search, "few_rows", lambda *_: False)
-    assert rows() == small
+    rows = lambda limit: sorted((r["doc_id"], r["clause"], round(r["score"], 9))
+                                for r in search.clause_scores(index, terms, limit).collect())
+    assert rows(None) == rows(1 << 20)
+    with pytest.raises(Exception, match="bytes to broadcast"):
+        rows(10)
 
 
 @pytest.mark.parametrize("query, found", [
