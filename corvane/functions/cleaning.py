@@ -159,3 +159,8 @@ def shell_timestamp(text: Column) -> Column:
 
 def duration_seconds(start: Column, end: Column) -> Column:
     return (shell_timestamp(end).cast("double") - shell_timestamp(start).cast("double"))
+
+
+def snippet(text: Column, length: int = 200) -> Column:
+    """The first ``length`` characters of a text, for display next to a hit."""
+    return F.substring(text, 1, length)

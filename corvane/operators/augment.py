@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.operators import ordinals
+
 # Markers of a serialised pair, inserted symbols, size of a short column, operations
 # that ``all`` draws from.
 SEPARATOR = "[SEP]"
@@ -243,3 +245,22 @@ def synthetic_pairs(parsed: DataFrame, id_col: str, generations: int = 1,
                                                   a["v3"].alias("v2"))).alias("attrs"))
         made = current if made is None else made.unionByName(current)
     return made
+
+
+def synthetic_dataset(parsed: DataFrame, id_col: str, ratio: float = 1.0, generations: int = 1,
+                      augmented_label: int = 1, keep_unsampled: bool = True,
+                      mix: Callable[[Column, Column], Column] = mix_halves, seed: int = 42) -> DataFrame:
+    """Real and synthetic pairs in shuffled order: id, parent, generation (0 for real ones), label,
+    attrs, position.
+
+    ``ratio`` is the budget: floor(ratio * n) of the n pairs of the augmented label, in hash order,
+    are mixed.  All real pairs stay; without ``keep_unsampled`` those of the augmented label that
+    were not drawn go.
+    """
+    real = parsed.select(F.col(id_col).cast("string").alias("id"), F.lit(None).cast("string").alias("parent"),
+                         F.lit(0).alias("generation"), "label", "attrs")
+    own, n = real.filter(F.col("label") == augmented_label), F.count(F.lit(1))
+    drawn = ordinals.first_n(own, ["id"], F.floor(F.lit(ratio) * own.agg(n).scalar()), seed)
+    others = real.filter(~F.coalesce(F.col("label") == augmented_label, F.lit(False)))
+    kept = real if keep_unsampled else drawn.unionByName(others)
+    return ordinals.shuffle_rows(kept.unionByName(synthetic_pairs(drawn, "id", generations, mix)), ["id"], seed)

@@ -290,6 +290,19 @@ def load_report(lengths: DataFrame) -> DataFrame:
         F.round(F.sum("dl") / F.greatest(F.count_if(ok), F.lit(1)), 6).alias("mean_tokens"))
 
 
+# The fields of each index that a query without a field asks.
+DEFAULT_FIELDS = {
+    "research_papers": ("title", "authors", "summary", "content"),
+    "figures": ("figure_id", "caption", "paper_id", "url", "blob_data"),
+    "tables": ("table_id", "description", "paper_id", "data", "table_url", "blob_data"),
+}
+
+
+def default_index(docs: DataFrame, kind: str, analyzer: str = "standard", id_col: str = "doc_id") -> Index:
+    """An index over the default fields that ``docs`` has."""
+    return Index(docs, {f: analyzer for f in DEFAULT_FIELDS[kind] if f in docs.columns}, id_col)
+
+
 # What a result card shows per index, as (label, column).
 CARDS = {
     "research_papers": (("title", "title"), ("authors", "authors"), ("published", "published"), ("link", "link")),

@@ -117,6 +117,42 @@ def article_metadata(spark, sf_dir):
         "authors", cleaning.display_names(F.col("authors")))
 
 
+def two_sources(spark, sf_dir):
+    """Objects of documents with an even id as HTML papers, of the others as article XML.  Every
+    line is a paragraph, the caption of a figure and of a table, and cites both."""
+    docs = papers(spark, sf_dir).select("doc_id", F.col("doc_id").cast("string").alias("paper_id"), "lang", F.split(
+        _escape(F.regexp_replace("text", "\r", " ")), "\n").alias("l"))
+
+    def each(*parts):
+        def one(x, i):
+            n = (i + 1).cast("string")
+            return F.concat(*[{"#": n, "@": x, "~": F.col("lang")}.get(p, F.lit(p)) for p in parts])
+        return F.array_join(F.transform("l", one), "")
+
+    cell = ("<table><tr><td>", "~", "</td></tr></table>")
+    html = each('<p class="ltx_p" id="p', "#", '">', "@", ' <a class="ltx_ref" href="#F', "#", 'x">F</a> '
+                '<a class="ltx_ref" href="#T', "#", 'x">T</a></p><figure class="ltx_figure" id="F', "#", 'x"><img src="', "#",
+                '.png"/><figcaption class="ltx_caption">Figure <b>', "#", "</b> ", "@",
+                '</figcaption></figure><figure class="ltx_table" id="T', "#", 'x"><figcaption class="ltx_caption">', "@",
+                "</figcaption>", *cell, "</figure>")
+    xml = each("<p>", "@", ' <xref rid="F', "#", 'x"/><xref rid="T', "#", 'x"/></p><fig id="F', "#",
+               'x"><caption>Figure <b>', "#", "</b> ", "@", '</caption><img src="', "#", '.png"/></fig><table-wrap id="T', "#",
+               'x"><caption>', "@", "</caption>", *cell, "</table-wrap>")
+    even = F.col("doc_id") % 2 == 0
+    pages = docs.filter(even).select("paper_id", F.concat(F.lit("<html><body>"), html, F.lit("</body></html>")).alias("markup"))
+    articles = docs.filter(~even).select("paper_id", F.concat(F.lit("<root>"), xml, F.lit("</root>")).alias("markup"))
+    return {"html": materialise(extraction.extract_objects(pages, "html")),
+            "xml": materialise(extraction.extract_objects(articles, "xml"))}
+
+
+def index_figures(spark, sf_dir):
+    return extraction.load_index("figure", **two_sources(spark, sf_dir)).drop("ordinal")
+
+
+def index_tables(spark, sf_dir):
+    return extraction.load_index("table", **two_sources(spark, sf_dir)).drop("ordinal")
+
+
 def _links(objects):
     refs = extraction.xml_references(extraction.paragraphs(objects))
     return extraction.link_objects(refs, objects.filter("kind <> 'paragraph'"))
@@ -233,7 +269,7 @@ QUERIES = {f.__name__: f for f in (
     xml_paragraphs, xml_figures, xml_tables, article_metadata, substring_link, link_text_blob,
     link_maps, context_paragraphs, title_section_extract, clean_text_strict, clean_text_loose,
     count_by_year, author_names, derived_urls, first_filled_key, metadata_join, complete_papers,
-    incremental_ingest, stage_durations, canonical_lines)}
+    incremental_ingest, stage_durations, canonical_lines, index_figures, index_tables)}
 
 
 # --- oracles ---------------------------------------------------------------------------------
@@ -272,7 +308,25 @@ def _control_trim(x):
     return rf"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
 
 
+_OBJECTS = f"""{_LINES}, ob AS (SELECT CAST(doc_id AS VARCHAR) AS paper_id, lang, i, x, r,
+    CASE WHEN doc_id % 2 = 0 THEN 'html' ELSE 'xml' END AS source FROM (SELECT doc_id, lang, unnest(l) AS x, unnest(raw) AS r,
+    generate_subscripts(l, 1) AS i FROM ln) y),
+  figs AS (SELECT source || '/' || paper_id || '/F' || i || 'x' AS doc_id, source, paper_id, 'F' || i || 'x' AS figure_id,
+    {_bare("'Figure ' || i || ' ' || CASE source WHEN 'html' THEN x ELSE r END")} AS caption,
+    CASE source WHEN 'html' THEN 'https://arxiv.org/html/' || paper_id || '#F' || i || 'x'
+      ELSE 'https://pmc.ncbi.nlm.nih.gov/articles/' || paper_id || '/#F' || i || 'x' END AS url,
+    CASE source WHEN 'html' THEN 'https://arxiv.org/html/' || paper_id || '/' ELSE '' END || i || '.png' AS image_url,
+    {_bare("CASE source WHEN 'html' THEN x || ' F T' ELSE x END")} AS blob_data FROM ob),
+  tabs AS (SELECT source || '/' || paper_id || '/T' || i || 'x' AS doc_id, source, paper_id, 'T' || i || 'x' AS table_id,
+    {_bare("CASE source WHEN 'html' THEN x ELSE r END")} AS caption,
+    CASE source WHEN 'html' THEN 'https://arxiv.org/html/' || paper_id || '#T' || i || 'x'
+      ELSE 'https://pmc.ncbi.nlm.nih.gov/articles/' || paper_id || '/#T' || i || 'x' END AS table_url,
+    '<table><tr><td>' || lang || '</td></tr></table>' AS data,
+    {_bare("CASE source WHEN 'html' THEN x || ' F T' ELSE x END")} AS blob_data FROM ob)"""
+
 ORACLES = {
+    "index_figures": f"WITH {_OBJECTS} SELECT * FROM figs",
+    "index_tables": f"WITH {_OBJECTS} SELECT * FROM tabs",
     "tag_strip": f"SELECT page_id, {_bare('html')} AS text FROM pages",
     "html_paragraphs": r"""SELECT page_id, CAST(generate_subscripts(p, 1) AS BIGINT) AS ordinal,
         unnest(p) AS inner FROM (SELECT page_id,

@@ -10,6 +10,7 @@ from corvane.plans import sqltext as sql
 from corvane.plans.record_linkage import raw_a, raw_b
 from corvane.plans.tables import papers, spread_table, table
 from corvane.session import materialise
+from corvane.sinks import writers
 
 
 def pairs(spark, sf_dir):
@@ -196,12 +197,33 @@ def synthetic_fanout(spark, sf_dir):
                        pairtext.join_attrs(F.col("attrs"), F.col("label")).alias("line"))
 
 
+def _dataset(spark, sf_dir):
+    parsed = _parsed(spark, sf_dir).select("p_partkey", "label", "attrs")
+    return augment.synthetic_dataset(parsed, "p_partkey", ratio=0.5, generations=2)
+
+
+def synthetic_dataset(spark, sf_dir):
+    return _dataset(spark, sf_dir).select(
+        "id", "parent", F.col("generation").cast("long").alias("generation"), "position",
+        pairtext.join_attrs(F.col("attrs"), F.col("label")).alias("line"))
+
+
+def synthetic_counts(spark, sf_dir):
+    """Label counts of the run log: all real pairs, those after the budget, the whole dataset."""
+    made = materialise(_dataset(spark, sf_dir).select("id", "parent", "generation", "label"))
+    real = made.filter("generation = 0")
+    drawn = real.join(made.filter("generation = 1").select(F.col("parent").alias("id")).distinct(), "id", "left_semi")
+    budget = drawn.unionByName(real.filter("label <> 1"))
+    entry = writers.run_entry(real, budget, made, "label", {"ratio": "0.5", "generations": "2"})
+    return entry.select(F.explode("sizes").alias("s")).select("s.stage", "s.label", "s.n")
+
+
 QUERIES = {f.__name__: f for f in (
     serialise_pair, json_pair, json_sides, scorer_line, parse_pair, reserialise_pair, attribute_union,
     inject_knowledge, normalise_numbers, tag_ids, tfidf_summary, tfidf_idf, tfidf_mean,
     ngram_repetition, value_lengths, bracket_balance, word_frequency, dictionary_scores,
     auto_thresholds, quality_filter, *[_augment(op) for op in (*augment.STEPS, "all")],
-    synthetic_fanout)}
+    synthetic_fanout, synthetic_dataset, synthetic_counts)}
 
 
 # --- oracles ---------------------------------------------------------------------------------
@@ -387,7 +409,21 @@ _FANOUT = f"""{_RAW}, g0 AS (SELECT CAST(p_partkey AS VARCHAR) AS id, {', '.join
     f"{_ATTRS[i]} AS l{i}, {_ATTRS[i + 4]} AS r{i}" for i in range(4))} FROM raw WHERE label = 1),
 {_generation('g0', 'g1', 1)}, {_generation('g1', 'g2', 2)}, gall AS (SELECT * FROM g1 UNION ALL SELECT * FROM g2)"""
 
+_REAL = ", ".join(f"{_ATTRS[i]} AS l{i}, {_ATTRS[i + 4]} AS r{i}" for i in range(4))
+_DATASET = f"""{_RAW}, own AS (SELECT p_partkey, row_number() OVER (ORDER BY md5('42|' || p_partkey), CAST(p_partkey AS VARCHAR))
+  AS place, count(*) OVER () AS total FROM raw WHERE label = 1),
+g0 AS (SELECT CAST(p_partkey AS VARCHAR) AS id, {_REAL} FROM raw JOIN own USING (p_partkey) WHERE place <= floor(0.5 * total)),
+{_generation('g0', 'g1', 1)}, {_generation('g1', 'g2', 2)}, gall AS (SELECT *, 1 AS label FROM g1 UNION ALL SELECT *, 1 FROM g2
+  UNION ALL BY NAME SELECT CAST(p_partkey AS VARCHAR) AS id, NULL AS parent, CAST(0 AS BIGINT) AS generation, {_REAL}, label FROM raw)"""
+
 ORACLES = {
+    "synthetic_dataset": f"""WITH {_DATASET} SELECT id, parent, generation, row_number() OVER (ORDER BY md5('42|' || id), id)
+        AS position, {_both_sides([f'l{i}' for i in range(4)], [f'r{i}' for i in range(4)])} || chr(9) || label AS line
+        FROM gall""",
+    "synthetic_counts": f"""WITH {_DATASET} SELECT 'initial' AS stage, CAST(label AS VARCHAR) AS label, count(*) AS n
+        FROM raw GROUP BY ALL UNION ALL SELECT 'final', CAST(label AS VARCHAR), count(*) FROM gall GROUP BY ALL
+        UNION ALL SELECT 'post_budget', '1', count(*) FROM g0
+        UNION ALL SELECT 'post_budget', '0', count(*) FROM raw WHERE label = 0""",
     "serialise_pair": f"WITH {_LINE} SELECT p_partkey, line FROM line",
     "json_pair": f"WITH {_RAW} SELECT p_partkey, '[' || {_json('l')} || ',' || {_json('r')} || ']' AS pair FROM raw",
     "json_sides": f"""WITH {_LINE} SELECT p_partkey, '["' || l || '","' || r || '"]' AS pair FROM line""",

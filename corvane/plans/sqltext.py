@@ -33,10 +33,10 @@ TITLE = "split_part(text, chr(10), 1)"
 ABSTRACT = f"substr(text, length({TITLE}) + 2)"
 
 
-def papers_cte(fields: dict[str, str]) -> str:
-    """tok(doc_id, field, toks), tf, dl, st and df over ``documents``."""
+def papers_cte(fields: dict[str, str], source: str = "documents") -> str:
+    """tok(doc_id, field, toks), tf, dl, st and df over a table with doc_id."""
     parts = " UNION ALL ".join(
-        f"SELECT doc_id, '{name}' AS field, {tokens(expr)} AS toks FROM documents"
+        f"SELECT doc_id, '{name}' AS field, {tokens(expr)} AS toks FROM {source}"
         for name, expr in fields.items())
     return f"""
 tok AS ({parts}),

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.functions import analysis, queries as qs
+from corvane.functions import analysis, cleaning, queries as qs
 from corvane.operators import rank_metrics, search
-from corvane.plans import sqltext as sql
+from corvane.plans import corpus, sqltext as sql
 from corvane.plans.tables import papers, passages, table
 
 FULL_TEXT = {"text": "standard"}
@@ -92,6 +92,26 @@ def search_mixed(spark, sf_dir):
     return search.run(search.Index(docs, FIELDS), asked, "published")
 
 
+def _default_search(spark, sf_dir, kind, rows):
+    index = search.default_index(rows, kind)
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.translate(
+        "text", '"', " ").alias("query"))
+    return search.run(index, asked.filter(~F.col("query").rlike(" (AND|OR) ")))
+
+
+def search_figures(spark, sf_dir):
+    return _default_search(spark, sf_dir, "figures", corpus.index_figures(spark, sf_dir))
+
+
+def search_tables(spark, sf_dir):
+    return _default_search(spark, sf_dir, "tables", corpus.index_tables(spark, sf_dir))
+
+
+def result_snippets(spark, sf_dir):
+    docs = papers(spark, sf_dir).select("doc_id", cleaning.snippet(F.col("abstract")).alias("snippet"))
+    return _bm25(spark, sf_dir).select("query_id", "rank", "doc_id").join(docs, "doc_id")
+
+
 def search_english(spark, sf_dir):
     fields = {"text": "english"}
     index = search.Index(papers(spark, sf_dir), fields)
@@ -238,7 +258,7 @@ def judge_verdicts(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     search_bm25, search_should, search_must, search_multi_match, search_hit_report, search_phrase,
-    search_field_and, search_mixed, search_english, search_keyword, result_cards, index_postings,
+    search_field_and, search_mixed, search_figures, search_tables, result_snippets, search_english, search_keyword, result_cards, index_postings,
     index_term_stats, index_doc_stats, index_field_stats, index_load_report, tokens_title_query,
     tokens_english, date_range, date_year_eq, date_month_eq, date_day_eq, query_normalise,
     search_coverage, rank_per_query, rank_macro, rank_relevance_lists, judge_verdicts)}
@@ -287,7 +307,20 @@ def _orders(where: str) -> str:
             f"WHERE {where}")
 
 
+def _default_oracle(kind: str, source: str) -> str:
+    """Best of the default fields; passages with AND or OR are left out, they are other kinds."""
+    fields = {f: f for f in search.DEFAULT_FIELDS[kind] if f != "description"}
+    asked = {f: sql.tokens("text") for f in fields}
+    few = "(SELECT * FROM benchmark WHERE NOT regexp_matches(text, ' (AND|OR) '))"
+    return f"""WITH {corpus._OBJECTS}, {sql.papers_cte(fields, source)}, {sql.clauses_cte(asked, few)}, {sql.CLAUSE_SCORES},
+        s AS (SELECT query_id, doc_id, max(score) AS score FROM cs GROUP BY ALL) {sql.top('s')}"""
+
+
 ORACLES = {
+    "search_figures": _default_oracle("figures", "figs"),
+    "search_tables": _default_oracle("tables", "tabs"),
+    "result_snippets": f"""{_ONE}, h AS ({sql.top('cs')}) SELECT query_id, rank, doc_id,
+        substr({sql.ABSTRACT}, 1, 200) AS snippet FROM h JOIN documents USING (doc_id)""",
     "search_bm25": f"{_ONE} {sql.top('cs')}",
     "search_should": f"""{_TWO}, s AS (SELECT query_id, doc_id, sum(score) AS score FROM cs
         GROUP BY ALL) {sql.top('s')}""",
