@@ -27,18 +27,18 @@ def atom_rows(feeds: DataFrame, column: str = "value") -> DataFrame:
     entries = F.regexp_extract_all(F.col(column), F.lit(r"(?s)<entry\b.*?</entry>"), F.lit(0))
     rest = [c for c in feeds.columns if c != column]
     raw = feeds.select(*rest, F.explode(entries).alias("_e"))
-    return _entry_columns(raw.select(*rest, F.from_xml("_e", ATOM).alias("_x")).select(*rest, "_x.*"), rest)
+    return _entry_columns(raw.select(*rest, F.from_xml("_e", ATOM).alias("_x")), rest, "_x.")
 
 
-def _entry_columns(raw: DataFrame, rest: list[str]) -> DataFrame:
-    alternate = F.get(F.filter("link", lambda x: x["_rel"] == "alternate"), F.lit(0))["_href"]
-    text = lambda c: F.coalesce(cleaning.strip(F.col(c)), F.lit(""))
+def _entry_columns(raw: DataFrame, rest: list[str], prefix: str = "") -> DataFrame:
+    alternate = F.get(F.filter(prefix + "link", lambda x: x["_rel"] == "alternate"), F.lit(0))["_href"]
+    text = lambda c: F.coalesce(cleaning.strip(F.col(prefix + c)), F.lit(""))
     link = F.coalesce(alternate, F.lit(""))
     return raw.select(
         *rest, F.element_at(F.split(text("id"), "/"), -1).alias("paper_id"),
         text("title").alias("title"), text("summary").alias("summary"),
         text("published").alias("published"),
-        F.coalesce(F.transform("author", lambda a: a["name"]), F.array().cast("array<string>"))
+        F.coalesce(F.transform(prefix + "author", lambda a: a["name"]), F.array().cast("array<string>"))
         .alias("authors"),
         cleaning.first_filled(link, text("id")).alias("link"),
         cleaning.mirror_url(link).alias("html_link"))

@@ -243,3 +243,29 @@ def test_context_paragraphs(spark, n):
     objects = spark.createDataFrame([("p", "T1", "Glyphosate dose in common words")], "paper_id string, object_id string, text string")
     got = extraction.context_paragraphs(objects, paras).collect()
     assert sorted((r["ordinal"], r["n_shared"]) for r in got) == [(i, 2) for i in range(n)]
+
+
+def test_rows_of_landed_texts_keep_other_columns(spark):
+    def read(f, values, *how):
+        return f(spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, value string"), *how).orderBy("id").collect()
+
+    assert read(files.run_log_rows, ["a b 1.5 ", " ", "a ?", None]) == [(0, "a b", 1.5), (2, "a", None)]
+    assert [tuple(r) for r in read(files.csv_rows, ['1,"a, ""b"""', None, ""], "n int, t string")] == [
+        (0, 1, 'a, "b"'), (1, None, None), (2, None, None)]
+    assert [(r["id"], r["n"], r["_corrupt_record"]) for r in read(files.json_rows, ['{"n":1}', "{x"], "n int")] == [
+        (0, 1, None), (1, None, "{x")]
+    assert read(files.link_rows, ['{"f":["p","q"]}', "{}", None]) == [(0, "f", 0, "p"), (0, "f", 1, "q")]
+    assert read(files.pair_rows, ["a\tb\tx", "a\tb", None, ""]) == [(0, "a\tb\tx", "a", "b", None)]
+    assert [r["figure_id"] for r in read(files.part_rows, ['[{"figure_id":"f"}]', "no", "[]", None], "figures")] == ["f"]
+    assert read(feeds.atom_rows, [None, "<feed/>"]) == []
+
+
+def test_index_of_two_sources(spark):
+    page = ('<p class="ltx_p" id="p1">see <a class="ltx_ref" href="#F1">it</a></p><figure class="ltx_figure" id="F1">'
+            '<img src="a.png"/><figcaption class="ltx_caption">A <b>map</b></figcaption></figure>')
+    article = '<root><p>no reference</p><fig id="F1"><caption>A plan</caption></fig></root>'
+    found = {s: extraction.extract_objects(spark.createDataFrame([("x", m)], "paper_id string, markup string"), s)
+             for s, m in (("html", page), ("xml", article))}
+    rows = extraction.load_index("figure", **found).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["caption"], r["blob_data"]) for r in rows] == [
+        ("html/x/F1", "A map", "see it"), ("xml/x/F1", "A plan", "")]

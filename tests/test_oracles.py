@@ -13,7 +13,11 @@ index_term_stats rank_per_query query_normalise date_month_eq html_paragraphs ht
 xml_tables article_metadata substring_link link_text_blob context_paragraphs title_section_extract
 keep_first_dedup row_id_assign split_70_15_15 sample_fraction balanced_sample block_b2 pair_features
 threshold_best best_checkpoint vector_topk vector_threshold parse_pair tfidf_summary tfidf_mean
-ngram_repetition auto_thresholds quality_filter augment_swap augment_append_col synthetic_fanout""".split()
+ngram_repetition auto_thresholds quality_filter augment_swap augment_append_col synthetic_fanout
+csv_fields stored_confusion text_files markup_files metadata_files object_list_rows link_map_rows json_lines
+annotation_lines query_set_files pair_lines run_log_lines feed_entries result_pages routed_rows load_counts run_entry
+index_figures index_tables search_tables synthetic_dataset synthetic_counts pair_weighted_match
+threshold_verified""".split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
 

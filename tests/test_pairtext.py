@@ -141,3 +141,13 @@ def test_auto_thresholds_of_one_line(spark):
     features = quality.line_features(lines(spark, "COL a VAL xyz\tCOL a VAL xy\t1"), "id", words, options)
     row = quality.auto_thresholds(features, options).first()
     assert (row["max_length"], row["max_dup_ngrams"]) == (3, 2)
+
+
+@pytest.mark.parametrize("ratio, keep, real, made", [(0.5, True, 5, 4), (0.5, False, 3, 4), (0.0, True, 5, 0), (1.0, False, 5, 8)])
+def test_synthetic_dataset(spark, ratio, keep, real, made):
+    texts = ["COL a VAL x y\tCOL a VAL z\t1"] * 4 + ["COL a VAL x\tCOL a VAL z\t0"]
+    parsed = pairtext.parse_lines(lines(spark, *texts))
+    rows = augment.synthetic_dataset(parsed, "id", ratio, keep_unsampled=keep).collect()
+    assert sorted(r["position"] for r in rows) == list(range(1, len(rows) + 1))
+    assert [sum(r["generation"] == g for r in rows) for g in (0, 1)] == [real, made]
+    assert all(r["label"] == 1 and r["parent"] for r in rows if r["generation"])
