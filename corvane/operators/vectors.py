@@ -15,6 +15,7 @@ from corvane.operators.joins import QUERY_BYTES, checked
 BLOCK_ROWS = 512  # vectors of one side that are multiplied at a time
 SIM_DIGITS = 6    # similarities are compared at this precision
 SALTS = 256
+HELD_HITS = 1 << 20  # hits of a task that wait for better ones
 
 
 def unit(vector: Column) -> Column:
@@ -47,7 +48,8 @@ def similarity_join(vectors: DataFrame, queries: DataFrame, left_id: str, right_
     all pairs with cosine similarity at or above the threshold.
 
     The large side is read once and packed into blocks; every block meets every block of the query
-    set, and a task keeps at most k hits per query of a product.  Queries are sent to every task;
+    set, and a task keeps the k best hits per query over all its products (as long as they fit in
+    ``HELD_HITS``, else per product).  Queries are sent to every task;
     more than ``query_bytes`` of them are refused.  None takes any number: the blocks of vectors are
     dealt over salts, the query blocks are shuffled to each salt.
     """
@@ -61,7 +63,17 @@ def similarity_join(vectors: DataFrame, queries: DataFrame, left_id: str, right_
         salted = asked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         pairs = lefts.withColumn("_salt", F.pmod(F.xxhash64("ids"), F.lit(SALTS)).cast("int")).join(salted, "_salt")
 
+    def frame(ids, qids, sims) -> pd.DataFrame:
+        return pd.DataFrame({"left_id": ids, "right_id": qids, "similarity": sims})
+
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best, held = {}, 0  # ids of a query block -> left ids and similarities, a row per query
+
+        def flush():
+            for qids, (ids, sims) in best.items():
+                yield frame(ids.ravel(), np.repeat(np.asarray(qids), ids.shape[1]), sims.ravel())
+            best.clear()
+
         for pdf in batches:
             for n, ids, m, qn, qids, qm in pdf[["n", "ids", "m", "qn", "qids", "qm"]].itertuples(index=False):
                 order = np.argsort(ids, kind="stable")
@@ -69,11 +81,23 @@ def similarity_join(vectors: DataFrame, queries: DataFrame, left_id: str, right_
                 sims = np.round(np.frombuffer(qm).reshape(qn, -1) @ np.frombuffer(m).reshape(n, -1)[order].T, SIM_DIGITS)
                 if threshold is not None:
                     rows, cols = np.nonzero(sims >= threshold)
-                else:
-                    cols = np.argsort(-sims, axis=1, kind="stable")[:, :k].ravel()
-                    rows = np.repeat(np.arange(qn), min(k, n))
-                yield pd.DataFrame({"left_id": ids[cols], "right_id": np.asarray(qids)[rows],
-                                    "similarity": sims[rows, cols]})
+                    yield frame(ids[cols], np.asarray(qids)[rows], sims[rows, cols])
+                    continue
+                cols = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+                ids, sims, key = ids[cols], np.take_along_axis(sims, cols, 1), tuple(qids)
+                if key in best:
+                    held -= best[key][0].size
+                    ids, sims = (np.hstack(x) for x in zip(best[key], (ids, sims)))
+                    for by in (lambda: ids, lambda: -sims):
+                        cols = np.argsort(by(), axis=1, kind="stable")
+                        ids, sims = np.take_along_axis(ids, cols, 1), np.take_along_axis(sims, cols, 1)
+                    ids, sims = ids[:, :k], sims[:, :k]
+                best[key] = ids, sims
+                held += ids.size
+                if held > HELD_HITS:
+                    yield from flush()
+                    held = 0
+        yield from flush()
 
     types = [dict(side.dtypes)[name] for side, name in ((vectors, left_id), (queries, right_id))]
     hits = pairs.mapInPandas(multiply, f"left_id {types[0]}, right_id {types[1]}, similarity double")

@@ -361,6 +361,21 @@ def vector_threshold(spark, sf_dir):
                                    "embedding", threshold=0.2)
 
 
+def _near_rows(spark, sf_dir, **how):
+    """Every row whose id is divisible by 50 as a query against all rows; any number of queries."""
+    e = table(spark, sf_dir, "embeddings")
+    return vectors.similarity_join(e, e.filter(F.col("vec_id") % 50 == 0), "vec_id", "vec_id", "embedding",
+                                   query_bytes=None, **how)
+
+
+def vector_row_topk(spark, sf_dir):
+    return _near_rows(spark, sf_dir, k=10)
+
+
+def vector_row_threshold(spark, sf_dir):
+    return _near_rows(spark, sf_dir, threshold=0.6)
+
+
 def text_normalise(spark, sf_dir):
     b = raw_b(spark, sf_dir)
     price = F.concat(F.lit("$ "), F.format_number("price", 2), F.lit(" USD"))
@@ -377,7 +392,8 @@ QUERIES = {f.__name__: f for f in (
     pair_features, jaro_winkler_names, pair_rule_match, pair_rule_eval, threshold_curve,
     threshold_best, threshold_verified, best_epoch, best_checkpoint, pair_lr_match, pair_lr_eval,
     pair_weighted_match,
-    learned_distances, truth_lookup, unit_normalise, vector_topk, vector_threshold, text_normalise)}
+    learned_distances, truth_lookup, unit_normalise, vector_topk, vector_threshold,
+    vector_row_topk, vector_row_threshold, text_normalise)}
 
 
 # --- oracles ---------------------------------------------------------------------------------
@@ -538,6 +554,11 @@ x AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM u),
 c AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, avg(x) AS x FROM x GROUP BY ALL) y GROUP BY label),
 s AS (SELECT vec_id AS left_id, c.label AS right_id, round(list_inner_product(v, c)
              / sqrt(list_inner_product(v, v)) / sqrt(list_inner_product(c, c)), 6) AS similarity FROM u CROSS JOIN c)"""
+_ROW_COSINE = """WITH u AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+n AS (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS v FROM u
+      WHERE list_inner_product(v, v) > 0),
+s AS (SELECT a.vec_id AS left_id, b.vec_id AS right_id, round(list_inner_product(a.v, b.v), 6) AS similarity
+      FROM n a CROSS JOIN n b WHERE b.vec_id % 50 = 0)"""
 _TEXT_ID = "CASE WHEN {0} % 9 <> 0 THEN {0} END"
 
 ORACLES = {
@@ -642,6 +663,9 @@ ORACLES = {
     "vector_topk": f"""{_COSINE} SELECT left_id, right_id, similarity FROM (SELECT *, row_number() OVER
         (PARTITION BY right_id ORDER BY similarity DESC, left_id) AS r FROM s) x WHERE r <= 10""",
     "vector_threshold": f"{_COSINE} SELECT left_id, right_id, similarity FROM s WHERE similarity >= 0.2",
+    "vector_row_topk": f"""{_ROW_COSINE} SELECT left_id, right_id, similarity FROM (SELECT *, row_number() OVER
+        (PARTITION BY right_id ORDER BY similarity DESC, left_id) AS r FROM s) x WHERE r <= 10""",
+    "vector_row_threshold": f"{_ROW_COSINE} SELECT left_id, right_id, similarity FROM s WHERE similarity >= 0.6",
     "text_normalise": f"""WITH {_RAW} SELECT k AS p_partkey, lower(manufacturer) AS brand,
         CASE WHEN k % 8 <> 0 THEN round(price, 2) END AS price FROM rb""",
 }

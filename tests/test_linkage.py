@@ -177,6 +177,20 @@ def test_vector_join_against_brute_force(spark, how):
     assert {(r["left_id"], r["right_id"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("held", [vectors.HELD_HITS, 100])
+def test_a_task_keeps_k_hits_per_query(spark, monkeypatch, held):
+    monkeypatch.setattr(vectors, "HELD_HITS", held)
+    rng = np.random.default_rng(4)
+    m = np.round(rng.normal(size=(300, 3)))  # many ties
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "a long, v array<double>").coalesce(1)
+    got = vectors.similarity_join(frame, frame.withColumnRenamed("a", "b"), "a", "b", "v", k=4, block_rows=30)
+    some = np.linalg.norm(m, axis=1) > 0
+    unit = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+    sims = np.where(some, np.round(unit @ unit.T, 6), -2)
+    assert {(r["left_id"], r["right_id"]) for r in got.collect()} == {
+        (int(a), b) for b in np.flatnonzero(some) for a in np.argsort(-sims[b], kind="stable")[:4]}
+
+
 def test_too_many_queries_to_broadcast(spark):
     frame = spark.createDataFrame([(1, [1.0, 0.0])], "a long, v array<double>")
     with pytest.raises(Exception, match="bytes to broadcast"):

@@ -33,6 +33,14 @@ def test_query_equals_oracle(spark, duck, name):
     assert problem is None, problem
 
 
+@pytest.mark.parametrize("name", ["vector_row_topk", "vector_row_threshold"])
+def test_row_searches_ask_with_every_50th_row(spark, duck, name):
+    problem, _, _ = check_oracle.compare(spark, duck, SF, name)
+    assert problem is None, problem
+    asked = {r["right_id"] for r in entry.queries()[name](spark, SF).select("right_id").distinct().collect()}
+    assert asked == {i for i, in duck.execute("SELECT vec_id FROM embeddings WHERE vec_id % 50 = 0").fetchall()}
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
