@@ -295,12 +295,12 @@ def _learned(spark, sf_dir):
 
 
 def pair_lr_match(spark, sf_dir):
-    """Fitted on a balanced sample of the train split, scored on the other two."""
+    """Fitted on a balanced sample of the train split; every pair is scored and carries its split."""
     features, names = _learned(spark, sf_dir)
     split = materialise(ordinals.split_three(features, list(_IDS)))
     sample = materialise(ordinals.balanced_sample(split.filter("split = 'train'"), list(_IDS), LABEL))
     model = linkage.fit_matcher(sample, names)
-    return linkage.learned_match(model, split.filter("split <> 'train'")).select(
+    return linkage.learned_match(model, split).select(
         *_IDS, LABEL, "split", "match_probability", "predicted", "match_confidence")
 
 

@@ -41,6 +41,19 @@ def test_row_searches_ask_with_every_50th_row(spark, duck, name):
     assert asked == {i for i, in duck.execute("SELECT vec_id FROM embeddings WHERE vec_id % 50 = 0").fetchall()}
 
 
+def test_learned_matcher_scores_every_pair(spark, duck):
+    scored = entry.queries()["pair_lr_match"](spark, SF)
+    ids = [c for c in scored.columns if c.startswith("row_id")]
+    pairs = duck.execute(entry.oracle_sql()["clean_pairs"].replace(
+        f"WHERE {ids[0]} % 7 <> 0 AND {ids[1]} % 7 <> 0", "")).fetchall()
+    rows = scored.collect()
+    assert sorted(tuple(r[c] for c in ids) for r in rows) == sorted(p[:2] for p in pairs)
+    assert {r["split"] for r in rows} == {"train", "valid", "test"}
+    assert all(0 <= r["match_probability"] <= 1 for r in rows)
+    judged = entry.queries()["pair_lr_eval"](spark, SF).first()
+    assert judged["tp"] + judged["fp"] + judged["fn"] + judged["tn"] == sum(r["split"] == "test" for r in rows)
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
