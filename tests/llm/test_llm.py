@@ -176,6 +176,17 @@ def test_shards_hold_the_mixture(spark):
         assert len(counts) == 8 and max(counts) - min(counts) <= 2
 
 
+def test_small_sources_spread_over_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET", 20)
+    monkeypatch.setattr(sharding, "STEP", 3)
+    rows = [(i, f"text {i}", None, f"host {i}" if i < 400 else "large") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = sharding.interleave(docs, 8).collect()
+    assert sorted((r["shard"], r["slot"]) for r in got) == [(k, j) for k in range(8) for j in range(100)]
+    small = [sum(r["source"] != "large" and r["shard"] == k for r in got) for k in range(8)]
+    assert sum(small) == 400 and min(small) >= 25 and max(small) <= 75
+
+
 def test_warc(spark):
     big, tab = "<p>" + "x" * 200 + "\r\n\r\nWARC/1.0\r\n", "é\r\n"
     rows = [(3, "http://a\nb", big), (1, None, big), (2, "u", tab), (5, "u", tab), (4, "u", None), (6, "u", ""), (None, "u", big),
