@@ -33,7 +33,7 @@ from corvane.llm.spans import crc32_sql, ranked
 
 HEAVY = 4096
 """A node is heavy if it is passed by more than this fraction of all turns, and by ``LEAST`` at least."""
-LEAST = 20_000
+LEAST = 256
 BAND = 4096
 """Levels of a shard."""
 QUEUE = 200_000
