@@ -7,8 +7,8 @@ candidate.  Its encoding is the smallest alphabet that holds it, and three stati
 * runs of symbol classes (digits, lower and upper case, signs; halves of the alphabet if it has one class);
 * lag-1 serial correlation of the symbol values.
 
-A token is found if it is unlike text and not unlike random symbols.  Unlike text: fewer coincidences, or
-more changes of class, than text of its length shows; short tokens and small alphabets leave much room for chance, so
+A token is found if it is unlike text and not unlike random symbols.  Unlike text: fewer coincidences, more
+changes of class, or both together more than text of its length shows; short tokens and small alphabets leave much room for chance, so
 their p-values stay large.  These p-values pass the step-up rule of Benjamini and Hochberg at ``RATE``, over all
 candidates of the table whose lengths have the same power of two.  Not unlike random: none of the three statistics is far from what uniform, independent symbols give.
 
@@ -17,6 +17,7 @@ Positions come from the pieces between matches, so they count code points.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -67,7 +68,7 @@ TEXT_TRIPLE = 0.0011
 """What three letters that are equal add to the variance of coincidences: sum p ** 3 - (sum p ** 2) ** 2."""
 TEXT_CHANGE = 0.2
 """Chance that the class changes from one symbol of an ordinary token to the next, at most."""
-RATE = 0.01
+RATE = 0.05
 FAR = 3.5
 """Standard deviations from uniform symbols beyond which a token isn't random."""
 STEP = 100
@@ -161,7 +162,7 @@ def measured(piece: Column) -> Column:
         lag = v["sxy"] - mean * (2 * v["s"] - v["first"] - v["last"]) + steps * mean * mean
         tied = F.when(around > 0, (lag / around + 1 / m["n"]) * F.sqrt(m["n"])).otherwise(F.lit(99.0))
         return F.struct(
-            m["n"].cast("long").alias("n"), F.greatest(few, mixed).alias("from_text"),
+            m["n"].cast("long").alias("n"), F.greatest(few, mixed, (few + mixed) / math.sqrt(2)).alias("from_text"),
             ((uneven <= FAR) & (F.abs(rough) <= FAR) & (F.abs(tied) <= FAR)).alias("random"))
 
     known = F.struct(n.alias("n"), squares.alias("squares"), one_class.alias("one_class"), runs.alias("runs"),
@@ -185,8 +186,8 @@ def thresholds(candidates: DataFrame, rate: float = RATE) -> DataFrame:
     band = Window.partitionBy("band")
     up = band.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("rank", F.sum("n").over(up)).withColumn("all", F.sum("n").over(band))
-    # two statistics, of which the larger counts
-    passes = 2 * tail(F.col("step") / STEP) * F.col("all") <= rate * F.col("rank")
+    # two statistics and their sum, of which the largest counts
+    passes = 3 * tail(F.col("step") / STEP) * F.col("all") <= rate * F.col("rank")
     return ranked.filter(passes).groupBy("band").agg(F.min("step").alias("least"))
 
 
@@ -277,11 +278,11 @@ stats as (select *, (pairs * {c} - (squares - n) / 2) / sqrt(pairs * {coincide}
     case when one_class then -99.0::double else (runs - 1 - steps * {change}) / sqrt(steps * {mixing}) end as mixed,
     (cbrt(chi / free) - (1 - 2 / (free * 9))) / sqrt(2 / (free * 9)) as uneven, (runs - 1 - steps * change) / sqrt(steps * change * (1 - change)) as rough,
     vss - vs * (vs / n) as around, vxy - (vs / n) * (2 * vs - v[1] - v[-1]) + steps * (vs / n) * (vs / n) as lag from sums),
-judged as (select k, s, e, floor(log2(n + 0.5))::int as band, floor(least(greatest(greatest(few, mixed), -9.0::double), 60.0::double) * {STEP})::int as step,
+judged as (select k, s, e, floor(log2(n + 0.5))::int as band, floor(least(greatest(greatest(few, mixed, (few + mixed) / {math.sqrt(2)!r}::double), -9.0::double), 60.0::double) * {STEP})::int as step,
     uneven <= {FAR} and abs(rough) <= {FAR} and case when around > 0 then abs((lag / around + 1 / n) * sqrt(n)) <= {FAR} else false end as random from stats),
 counts as (select band, step, count(*) as n from judged group by band, step),
 ranked as (select band, step, sum(n) over (partition by band order by step desc) as rank, sum(n) over (partition by band) as total from counts),
-least_steps as (select band, min(step) as cut from ranked where 2 * {tail_sql(f'(step / {STEP}::double)')} * total <= {RATE} * rank group by band),
+least_steps as (select band, min(step) as cut from ranked where 3 * {tail_sql(f'(step / {STEP}::double)')} * total <= {RATE} * rank group by band),
 found as (select k, 3 as kind, s, e from judged j join least_steps using (band)
     where random and step >= cut and not exists (select 1 from base b where b.k = j.k and b.s < j.e and j.s < b.e)),
 spans as (select k, kind, s, (case kind when 0 then 'assign' when 1 then 'access' when 2 then 'hex' else 'random' end) || ':' || s || ':' || e as span

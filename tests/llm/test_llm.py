@@ -53,7 +53,7 @@ def test_query_equals_oracle(spark, name):
 
 
 def test_queries_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in catalogue.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in catalogue.QUERIES}
     assert set(catalogue.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
