@@ -94,13 +94,18 @@ def saturation(tf: Column, dl: Column, avg_dl: Column) -> Column:
     return tf / (tf + K1 * (F.lit(1 - B) + B * dl / avg_dl))
 
 
-def query_terms(clauses: DataFrame, analyzers: dict[str, str]) -> DataFrame:
-    """Analyse clause texts: query_id, clause, field, text -> query_id, clause, field, term, qtf."""
+def analysed(field: Column, text: Column, analyzers: dict[str, str]) -> Column:
+    """Tokens of a query text by the analyzer of its field; null for an unknown field."""
     tokens = None
     for name, analyzer in analyzers.items():
-        analysed = ANALYZERS[analyzer](F.col("text"))
-        tokens = F.when(F.col("field") == name, analysed) if tokens is None else \
-            tokens.when(F.col("field") == name, analysed)
+        done = ANALYZERS[analyzer](text)
+        tokens = F.when(field == name, done) if tokens is None else tokens.when(field == name, done)
+    return tokens
+
+
+def query_terms(clauses: DataFrame, analyzers: dict[str, str]) -> DataFrame:
+    """Analyse clause texts: query_id, clause, field, text -> query_id, clause, field, term, qtf."""
+    tokens = analysed(F.col("field"), F.col("text"), analyzers)
     return (clauses.withColumn("term", F.explode_outer(tokens)).filter(F.col("term").isNotNull())
             .groupBy("query_id", "clause", "field", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
@@ -185,17 +190,17 @@ def run(index: Index, queries: DataFrame, published: str | None = None, k: int =
               .select("query_id", "doc_id",
                       F.when(F.col("kind") == "multi_match", F.col("best")).otherwise(F.col("total")).alias("score")))
     if published is not None:
-        scores = scores.unionByName(_date_hits(index, asked, published, k))
+        scores = scores.unionByName(date_hits(index.docs, index.id_col, asked, published, k))
     return top_hits(scores, k)
 
 
-def _date_hits(index: Index, asked: DataFrame, published: str, k: int) -> DataFrame:
+def date_hits(docs: DataFrame, id_col: str, asked: DataFrame, published: str, k: int) -> DataFrame:
     """The k first documents of every day of a period.
 
     A period is spelt out in days, within those the documents have, so the join is by equality and
     meets at most k documents a day.
     """
-    days = index.docs.select(F.col(index.id_col).alias("doc_id"), F.col(published).cast("date").alias("day")) \
+    days = docs.select(F.col(id_col).alias("doc_id"), F.col(published).cast("date").alias("day")) \
         .filter(F.col("day").isNotNull())
     first = (days.withColumn("_rn", F.row_number().over(W.partitionBy("day").orderBy("doc_id")))
              .filter(F.col("_rn") <= k).drop("_rn"))
@@ -225,11 +230,7 @@ def phrase_matches(index: Index, phrases: DataFrame, analyzers: dict[str, str],
     positions; every other term must then be found at its place.  So the work follows the rarest
     term, also when the other terms stand in every document.  ``query_bytes`` as in clause_scores.
     """
-    tokens = None
-    for name, analyzer in analyzers.items():
-        analysed = ANALYZERS[analyzer](F.col("text"))
-        tokens = F.when(F.col("field") == name, analysed) if tokens is None else \
-            tokens.when(F.col("field") == name, analysed)
+    tokens = analysed(F.col("field"), F.col("text"), analyzers)
     places = (phrases.withColumn("tokens", tokens)
               .select("query_id", "clause", "field", F.size("tokens").alias("n"),
                       F.posexplode_outer("tokens").alias("offset", "term"))

@@ -5,15 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.session import spread
+from corvane.operators import search, stored_index
+from corvane.session import private_folder, spread, version
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_WRITTEN: dict[tuple, stored_index.StoredIndex] = {}
+
+
+def index_of(spark: SparkSession, sf_dir: str, name: str, fields: dict[str, str], docs, keep: tuple[str, ...] = ()) -> stored_index.StoredIndex:
+    """The index ``name`` over the tables of a folder: written once per application and state of the
+    documents, read by every later search.  ``docs`` gives the rows to index."""
+    source = f"{sf_dir.rstrip('/')}/documents.parquet"
+    key = (spark.sparkContext.applicationId, name, source, version(spark, source))
+    if key not in _WRITTEN:
+        rows = search.Index(docs(spark, sf_dir), fields)
+        _WRITTEN[key] = stored_index.write_index(rows, private_folder(spark, f"index-{name}"), keep)
+    return _WRITTEN[key]
+
+
 def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table for CPU-heavy work, over all cores also when it is one small file."""
+    """A table for CPU-heavy work, over all cores where the session asks for it."""
     return spread(table(spark, sf_dir, name), key)
 
 

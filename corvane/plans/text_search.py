@@ -6,54 +6,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions import analysis, cleaning, queries as qs
-from corvane.operators import rank_metrics, search
+from corvane.operators import rank_metrics, search, stored_index
 from corvane.plans import corpus, sqltext as sql
-from corvane.plans.tables import papers, passages, table
+from corvane.plans.tables import index_of, papers, passages, table
 
 FULL_TEXT = {"text": "standard"}
 FIELDS = {"title": "standard", "abstract": "standard"}
+STORED = FULL_TEXT | FIELDS | {"source": "keyword"}
+
+
+def _dated_papers(spark, sf_dir):
+    return papers(spark, sf_dir).withColumn(
+        "published", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 1500).cast("int")))
+
+
+def _index(spark, sf_dir):
+    """The stored index of the papers: full text, title and abstract, source as a keyword."""
+    return index_of(spark, sf_dir, "papers", STORED, _dated_papers, ("lang", "source", "title", "abstract", "published"))
 
 
 def _bm25(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
-    index = search.Index(papers(spark, sf_dir), FULL_TEXT)
     terms = search.query_terms(passages(spark, sf_dir, "text"), FULL_TEXT)
-    return search.top_hits(search.clause_scores(index, terms), k)
+    return stored_index.top_hits(_index(spark, sf_dir), terms, k=k)
 
 
 def search_bm25(spark, sf_dir):
     return _bm25(spark, sf_dir)
 
 
-def _two_fields(spark, sf_dir):
-    index = search.Index(papers(spark, sf_dir), FIELDS)
+def _two_fields(spark, sf_dir, how):
     clauses = passages(spark, sf_dir, "title", "abstract")
-    return clauses, search.clause_scores(index, search.query_terms(clauses, FIELDS))
+    return stored_index.top_hits(_index(spark, sf_dir), search.query_terms(clauses, FIELDS), how, clauses)
 
 
 def search_should(spark, sf_dir):
-    _, scores = _two_fields(spark, sf_dir)
-    return search.top_hits(search.any_clause(scores))
+    return _two_fields(spark, sf_dir, "any")
 
 
 def search_must(spark, sf_dir):
-    clauses, scores = _two_fields(spark, sf_dir)
-    return search.top_hits(search.every_clause(scores, clauses))
+    return _two_fields(spark, sf_dir, "every")
 
 
 def search_multi_match(spark, sf_dir):
-    _, scores = _two_fields(spark, sf_dir)
-    return search.top_hits(search.best_field(scores))
+    return _two_fields(spark, sf_dir, "best")
 
 
 def search_hit_report(spark, sf_dir):
-    _, scores = _two_fields(spark, sf_dir)
+    clauses = passages(spark, sf_dir, "title", "abstract")
+    totals = stored_index.hit_counts(_index(spark, sf_dir), search.query_terms(clauses, FIELDS))
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"))
-    return search.hit_report(search.any_clause(scores), asked)
+    return asked.join(totals, "query_id", "left").withColumn("total_hits", F.coalesce("total_hits", F.lit(0)))
 
 
 def _phrases(spark, sf_dir):
-    index = search.Index(papers(spark, sf_dir), FULL_TEXT)
-    return search.phrase_matches(index, passages(spark, sf_dir, "text"), FULL_TEXT)
+    return stored_index.phrase_matches(_index(spark, sf_dir), passages(spark, sf_dir, "text"), FULL_TEXT)
 
 
 def search_phrase(spark, sf_dir):
@@ -69,17 +75,13 @@ def _field_queries(spark, sf_dir):
 
 
 def search_field_and(spark, sf_dir):
-    index = search.Index(papers(spark, sf_dir), FIELDS)
     clauses = qs.explode_clauses(_field_queries(spark, sf_dir).filter("valid"))
     terms = search.query_terms(clauses, {"title": "title_query", "abstract": "standard"})
-    scores = search.clause_scores(index, terms)
-    return search.top_hits(search.every_clause(scores, clauses))
+    return stored_index.top_hits(_index(spark, sf_dir), terms, "every", clauses)
 
 
 def search_mixed(spark, sf_dir):
     """Passages as query strings of all kinds against papers with a day of publication."""
-    docs = papers(spark, sf_dir).withColumn(
-        "published", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 1500).cast("int")))
     text, form = F.translate("text", '"', " "), F.col("item_id") % 5
     title, abstract = F.concat(F.lit('title:"'), text, F.lit('"')), F.concat(F.lit('abstract:"'), text, F.lit('"'))
     month = F.concat(2020 + F.col("item_id") % 4, F.lit("-0"), 1 + F.col("item_id") % 9)
@@ -89,44 +91,45 @@ def search_mixed(spark, sf_dir):
              .when(form == 3, F.concat(title, F.lit(" AND "), abstract))
              .otherwise(text))
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), query.alias("query"))
-    return search.run(search.Index(docs, FIELDS), asked, "published")
+    return stored_index.run(_index(spark, sf_dir), asked, "published", fields=FIELDS)
 
 
 def _default_search(spark, sf_dir, kind, rows):
-    index = search.default_index(rows, kind)
+    fields = search.default_index(rows(spark, sf_dir), kind).fields
+    index = index_of(spark, sf_dir, kind, fields, rows)
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.translate(
         "text", '"', " ").alias("query"))
-    return search.run(index, asked.filter(~F.col("query").rlike(" (AND|OR) ")))
+    return stored_index.run(index, asked.filter(~F.col("query").rlike(" (AND|OR) ")))
 
 
 def search_figures(spark, sf_dir):
-    return _default_search(spark, sf_dir, "figures", corpus.index_figures(spark, sf_dir))
+    return _default_search(spark, sf_dir, "figures", corpus.index_figures)
 
 
 def search_tables(spark, sf_dir):
-    return _default_search(spark, sf_dir, "tables", corpus.index_tables(spark, sf_dir))
+    return _default_search(spark, sf_dir, "tables", corpus.index_tables)
 
 
 def result_snippets(spark, sf_dir):
-    docs = papers(spark, sf_dir).select("doc_id", cleaning.snippet(F.col("abstract")).alias("snippet"))
+    docs = _index(spark, sf_dir).stored.select("doc_id", cleaning.snippet(F.col("abstract")).alias("snippet"))
     return _bm25(spark, sf_dir).select("query_id", "rank", "doc_id").join(docs, "doc_id")
 
 
 def search_english(spark, sf_dir):
     fields = {"text": "english"}
-    index = search.Index(papers(spark, sf_dir), fields)
+    index = index_of(spark, sf_dir, "english", fields, papers)
     terms = search.query_terms(passages(spark, sf_dir, "text"), fields)
-    return search.top_hits(search.clause_scores(index, terms))
+    return stored_index.top_hits(index, terms)
 
 
 def search_keyword(spark, sf_dir):
     asked = (table(spark, sf_dir, "documents").groupBy(F.col("source").alias("value"))
              .agg(F.min("doc_id").alias("query_id")))
-    return search.keyword_hits(papers(spark, sf_dir), "source", asked)
+    return stored_index.keyword_hits(_index(spark, sf_dir), "source", asked)
 
 
 def result_cards(spark, sf_dir):
-    docs = papers(spark, sf_dir).select(
+    docs = _index(spark, sf_dir).stored.select(
         "doc_id", F.nullif("title", F.lit("")).alias("title"), F.array("source", "lang").alias("authors"),
         F.when(F.col("doc_id") % 2 == 0, "2024-01-01").alias("published"),
         F.col("abstract").alias("link"))
@@ -135,28 +138,26 @@ def result_cards(spark, sf_dir):
 
 
 def index_postings(spark, sf_dir):
-    index = search.Index(papers(spark, sf_dir), FIELDS)
-    return index.postings().select(
+    return _index(spark, sf_dir).entries().filter(F.col("field").isin(*FIELDS)).select(
         "field", "term", "doc_id", "tf",
         F.array_join(F.col("positions").cast("array<string>"), ",").alias("positions"))
 
 
 def index_term_stats(spark, sf_dir):
-    index = search.Index(papers(spark, sf_dir), FIELDS)
-    return search.term_frequencies(index)
+    return _index(spark, sf_dir).terms.filter(F.col("field").isin(*FIELDS)).drop("bucket")
 
 
 def index_doc_stats(spark, sf_dir):
-    return search.Index(papers(spark, sf_dir), FIELDS).lengths()
+    return _index(spark, sf_dir).lengths().filter(F.col("field").isin(*FIELDS))
 
 
 def index_field_stats(spark, sf_dir):
-    stats = search.Index(papers(spark, sf_dir), FIELDS).stats()
+    stats = _index(spark, sf_dir).stats.filter(F.col("field").isin(*FIELDS))
     return stats.select("field", "n_docs", F.round("avg_dl", 6).alias("avg_dl"))
 
 
 def index_load_report(spark, sf_dir):
-    lengths = search.Index(papers(spark, sf_dir), FULL_TEXT).lengths()
+    lengths = _index(spark, sf_dir).lengths().filter(F.col("field").isin(*FULL_TEXT))
     return search.load_report(lengths)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ def local_session(name: str, cpus: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
+        .config(SPREAD, str(os.cpu_count() if cpus == "*" else cpus))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -53,14 +55,34 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+SPREAD = "spark.corvane.spread"
+"""Session setting: over how many tasks ``spread`` deals rows; unset, it leaves them as they are."""
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for CPU-heavy work on a small table.
+    """Deal a small table over all cores for CPU-heavy work, where the session asks for it.
 
-    A table with fewer splits than there are cores is hashed over the cores.  Larger tables
-    already have enough splits and are not shuffled.
+    Test and bench sessions do, since their tables are single files.  On a cluster the setting is unset
+    and the splits of the files are the tasks: no rows are moved, whatever the size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    tasks = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(tasks), *keys) if tasks else df
+
+
+def private_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder, removed when the session's JVM ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/corvane-{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and time of change of a table's folder or file, by the file system that holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(target).getLength(), files.getFileStatus(target).getModificationTime()
 
 
 def ship_package(spark: SparkSession) -> None:
