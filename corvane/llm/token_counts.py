@@ -10,8 +10,10 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane.functions.binding import let
 from corvane.llm import tokens
 from corvane.llm.common import empty_text, table, text_blocks
+from corvane.llm.secrets import places
 
 LEAF = 64
 """Pre-tokens in a leaf when a tree is built."""
@@ -81,23 +83,23 @@ class CountTree:
             while after < self.leaves and context < LOOKAHEAD + 1:
                 context += self.chars[after + self.size]
                 after += 1
-            length, total, made = 0, 0, 0
+            length, made = 0, []
             whole = stop + shift - begin
             for found in _PRE_TOKEN.findall(changed[begin:stop + shift + context]):
                 if length >= whole:
                     break
                 length += len(found)
-                total += count(found)
-                made += 1
+                made.append((len(found), count(found)))
             if length == whole or b + 1 >= self.leaves:
                 break
             b += 1
             stop += self.chars[b + self.size]
-        self.put(a, whole, total)
-        for leaf in range(a + 1, b + 1):
-            if self.chars[leaf + self.size]:
-                self.put(leaf, 0, 0)
-        return changed, made
+        # The leaves met share the new pre-tokens, so that none grows with the number of edits.
+        share = max(1, -(-len(made) // (b - a + 1)))
+        for leaf in range(a, b + 1):
+            mine = made[(leaf - a) * share:(leaf - a + 1) * share]
+            self.put(leaf, sum(m[0] for m in mine), sum(m[1] for m in mine))
+        return changed, len(made)
 
     def dump(self) -> bytes:
         return np.array([self.chars[self.size:self.size + self.leaves],
@@ -199,26 +201,25 @@ def apply_edits(rows: DataFrame, tokenizer: str | None = None) -> DataFrame:
         run, "id long, text string, n_tokens long, tree binary, n_before long, n_edits long, reencoded long")
 
 
-REDACTED = r"[\w.+-]+@[\w-]+\.[\w.-]+|\d{6,}"
+REDACTED = r"(?:\G|(?<![\w.+-]))[\w.+-]++@[\w-]+\.[\w.-]+|\d{6,}"
+"""E-mail addresses and long numbers.  An address begins where its run does, so no run is read twice."""
 
 
 def redactions(text: Column, pattern: str = REDACTED, mask: str = "[REDACTED]") -> Column:
     """Edits that mask e-mail addresses and long numbers, and one that takes off the last line."""
     t = empty_text(text)
-    parts, found = F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+    masks = F.transform(places(t, pattern), lambda s: F.struct(
+        s["start"].cast("int").alias("start"), s["end"].cast("int").alias("stop"), F.lit(mask).alias("text")))
     total = F.char_length(t)
     kept = total - F.when(F.contains(t, F.lit("\n")),
                           F.char_length(F.substring_index(t, "\n", -1)) + 1).otherwise(0)
 
-    def summed(a: Column, n: Column) -> Column:
-        return F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda s, x: s + F.char_length(x))
+    def chosen(ends: Column) -> Column:
+        last = F.struct(ends["kept"].alias("start"), ends["total"].alias("stop"), F.lit("").alias("text"))
+        return F.concat(F.filter(masks, lambda e: e["stop"] <= ends["kept"]),
+                        F.filter(F.array(last), lambda e: e["start"] < e["stop"]))
 
-    masks = F.transform(found, lambda x, i: F.struct(
-        (summed(parts, i + 1) + summed(found, i)).alias("start"),
-        (summed(parts, i + 1) + summed(found, i + 1)).alias("stop"), F.lit(mask).alias("text")))
-    last = F.struct(kept.alias("start"), total.alias("stop"), F.lit("").alias("text"))
-    return F.concat(F.filter(masks, lambda e: e["stop"] <= kept),
-                    F.when(kept < total, F.array(last)).otherwise(F.filter(F.array(last), lambda e: F.lit(False))))
+    return let(F.struct(kept.alias("kept"), total.alias("total")), chosen)
 
 
 def op10_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -367,3 +367,14 @@ def test_pipeline(spark):
         assert set(now) <= set(texts)
         texts = now
     assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()} == set(texts)
+
+
+def test_many_redactions_of_one_text(spark):
+    text = " ".join(str(1000000 + i) for i in range(3000)) + " " + "w" * 2000 + " a@b.c+d@e.f\nlast"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = token_counts.apply_edits(token_counts.with_trees(docs, edits=token_counts.redactions(docs.text))).first()
+    assert row["n_edits"] == 3003 and row["text"] == " ".join(["[REDACTED]"] * 3000) + " " + "w" * 2000 + " [REDACTED][REDACTED]"
+    encode = tokens.encoder(tokens.default_path())
+    assert row["n_tokens"] == len(encode.bpe.encode_ordinary(row["text"]))
+    tree = token_counts.CountTree.load(row["tree"])
+    assert max(tree.chars) == len(row["text"]) and max(tree.chars[tree.size:]) < 5000  # no leaf grows with the edits
