@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import decontamination, jaccard_join, language, line_dedup, packing
-from corvane.llm.common import stored, table, unused
+from corvane.llm.common import small_batches, stored, table, unused
 
 LEAST_SCORE = 0.5
 """Posterior of the best language below which a document is rejected."""
@@ -14,6 +14,7 @@ LEAST_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or without a language more likely than the others together, go."""
+    small_batches(spark)
     model = language.train(docs.filter(~language.held_out()))
     lang, score = unused(docs, "_lang"), unused(docs, "_lang_score")
     named = language.identify(docs, model, pred_col=lang, score_col=score)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.common import stored, table, text_blocks, unused
+from corvane.llm.common import lean, stored, table, text_blocks, unused
 from corvane.llm.words import MULTIPLIER, NOT_ALNUM, mixed, word_hashes
 
 BLOCK = 16
@@ -181,7 +181,7 @@ def find_items(docs: DataFrame, items: DataFrame, threshold: float = 0.5, overla
         shared = spark.sparkContext.broadcast(Index(sorted(
             (tuple(r) for r in part.select("item_id", "question", "answer").collect()),
             key=lambda r: (r[1] or "", r[2] or "", r[0] is None, r[0]))))
-        hits = rows.mapInArrow(_searcher(shared, threshold, overlap), schema)
+        hits = rows.mapInArrow(lean(_searcher(shared, threshold, overlap)), schema)
         found = hits if found is None else found.unionByName(hits)
     return found.withColumnRenamed("id", id_col)
 

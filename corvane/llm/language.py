@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import table, text_blocks
+from corvane.llm.common import lean, table, text_blocks
 
 BITS = 16
 PIECE = 1 << 20
@@ -97,7 +97,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 totals = {}
         yield from _emit(totals)
 
-    sums = (chosen.mapInArrow(count, "lang string, bucket int, n long")
+    sums = (chosen.mapInArrow(lean(count), "lang string, bucket int, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     found = sums.toArrow()
     langs = sorted(set(found.column("lang").to_pylist()))
@@ -165,7 +165,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                                              names=[*fields, pred_col, score_col])
 
     schema = T.StructType([*docs.schema, T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import empty_text, stored, table, unused
+from corvane.llm.common import empty_text, lean, stored, table, unused
 
 _SPACE = "\\\\x20\\\\x09-\\\\x0D"
 
@@ -129,7 +129,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ordered = (exploded.repartitionByRange(F.col("h1"), F.col("h2"), F.col("id").desc_nulls_last())
                .sortWithinPartitions("h1", "h2", F.col("id").desc_nulls_last(), "th", "pos"))
     schema = "kind string, h1 long, h2 long, id long, th long, pos int, n long"
-    scanned = stored(ordered.mapInArrow(_scan(min_docs), schema), "line-decisions")
+    scanned = stored(ordered.mapInArrow(lean(_scan(min_docs)), schema), "line-decisions")
     cut = (scanned.filter("kind = 'key'").groupBy("h1", "h2")
            .agg(F.sum("n").alias("docs"), F.max("id").alias("top"))
            .filter(F.col("docs") >= min_docs))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import tokens
-from corvane.llm.common import empty_text, table, text_blocks
+from corvane.llm.common import empty_text, lean, table, text_blocks
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -92,7 +92,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), empty_text(text_col).alias("text"))
-    return rows.mapInArrow(run, SCHEMA).withColumnRenamed("doc_id", id_col)
+    return rows.mapInArrow(lean(run), SCHEMA).withColumnRenamed("doc_id", id_col)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
