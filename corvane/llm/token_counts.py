@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.binding import let
 from corvane.llm import tokens
-from corvane.llm.common import empty_text, table, text_blocks
+from corvane.llm.common import empty_text, lean, table, text_blocks
 from corvane.llm.secrets import places
 
 LEAF = 64
@@ -152,7 +152,7 @@ def with_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), empty_text(text_col).alias("text"),
                        (F.lit(None) if edits is None else edits).cast(kind).alias("edits"))
-    return rows.mapInArrow(run, f"id long, text string, edits {kind}, n_tokens long, n_pretokens long, tree binary")
+    return rows.mapInArrow(lean(run), f"id long, text string, edits {kind}, n_tokens long, n_pretokens long, tree binary")
 
 
 def apply_edits(rows: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -198,7 +198,7 @@ def apply_edits(rows: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 names=["id", "text", "n_tokens", "tree", "n_before", "n_edits", "reencoded"])
 
     return rows.select("id", "text", "edits", "n_tokens", "tree").mapInArrow(
-        run, "id long, text string, n_tokens long, tree binary, n_before long, n_edits long, reencoded long")
+        lean(run), "id long, text string, n_tokens long, tree binary, n_before long, n_edits long, reencoded long")
 
 
 REDACTED = r"(?:\G|(?<![\w.+-]))[\w.+-]++@[\w-]+\.[\w.-]+|\d{6,}"
