@@ -123,9 +123,17 @@ def _emit(totals: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
                                           "bucket": pa.array(at, pa.int32()), "n": pa.array(total[at], pa.int64())})
 
 
-def score(texts: list[str | None], langs: list[str], model: np.ndarray) -> tuple[list[str], list[float]]:
-    """Best language and its posterior for each text; und and 0 without a letter or a language."""
+def score(texts: list[str | None], langs: list[str], model: np.ndarray) -> tuple[list[str], list[float], list[float | None]]:
+    """Best language, its posterior and fit for each text; und, 0 and null without a letter or a language.
+
+    The fit is the mean log probability of the text's n-grams in that language less the mean that the
+    language's own n-grams have: near 0 for its texts of any length, far below for what is none.
+    """
     grams, first, owner = features(texts)
+    own = (np.exp(model[:, :1 << BITS]) * model[:, :1 << BITS]).sum(axis=1)
+    counts = np.add.reduceat((grams < 1 << BITS).sum(axis=0), first) if len(first) else []
+    sizes = np.zeros(len(texts))
+    np.add.at(sizes, owner, counts)
     sums = np.zeros((len(langs), len(texts)))
     if len(first):
         for row, weights in zip(sums, model):
@@ -133,20 +141,21 @@ def score(texts: list[str | None], langs: list[str], model: np.ndarray) -> tuple
             np.add.at(row, owner, np.add.reduceat(at, first))
     read = np.zeros(len(texts), bool)
     read[owner] = bool(langs)
-    names, values = ["und"] * len(texts), [0.0] * len(texts)
+    names, values, fits = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts)
     for i in np.flatnonzero(read):
         posterior = sums[:, i] + model[:, -1]
         best = int(posterior.argmax())
         names[i] = langs[best]
         values[i] = float(1 / np.exp(posterior - posterior[best]).sum())
-    return names, values
+        fits[i] = float(sums[best, i] / sizes[i] - own[best])
+    return names, values, fits
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text",
-             pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
-    """``docs`` (columns as they are) with the predicted language and its score.
+             pred_col: str = "lang_pred", score_col: str = "score", fit_col: str | None = None) -> DataFrame:
+    """``docs`` (columns as they are) with the predicted language, its score and, if asked, its fit (see ``score``).
 
-    Columns that have these two names already are replaced.
+    Columns that have these names already are replaced.
 
     The prediction reads the whole text and nothing else.  A text that is null or has no letter is
     ``und`` with score 0, as is every text when no language was learned.  Ties go to the first
@@ -154,17 +163,19 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    docs = docs.drop(pred_col, score_col)
+    added = [pred_col, score_col, *([] if fit_col is None else [fit_col])]
+    docs = docs.drop(*added)
     fields = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, weights = shared.value
         for batch, texts in text_blocks(batches, text_col):
-            names, values = score(texts, langs, weights)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(values, pa.float64())],
-                                             names=[*fields, pred_col, score_col])
+            names, *values = score(texts, langs, weights)
+            numbers = [pa.array(v, pa.float64()) for v in values[:len(added) - 1]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), *numbers], names=[*fields, *added])
 
-    schema = T.StructType([*docs.schema, T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
+    schema = T.StructType([*docs.schema, T.StructField(pred_col, T.StringType()),
+                           *[T.StructField(c, T.DoubleType()) for c in added[1:]]])
     return docs.mapInArrow(lean(run), schema)
 
 

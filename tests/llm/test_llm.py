@@ -378,3 +378,31 @@ def test_many_redactions_of_one_text(spark):
     assert row["n_tokens"] == len(encode.bpe.encode_ordinary(row["text"]))
     tree = token_counts.CountTree.load(row["tree"])
     assert max(tree.chars) == len(row["text"]) and max(tree.chars[tree.size:]) < 5000  # no leaf grows with the edits
+
+
+@needs_tables
+def test_language_stage_rejects_noise_and_keeps_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    draw = random.Random(2)
+    noise = [(10_000_000 + 3 * i, "".join(draw.choice("bcdfghjklmnpqrstvwxz  ") for _ in range(draw.choice([80, 3000])))) for i in range(60)]
+    mixed = docs.unionByName(spark.createDataFrame(noise, "doc_id long, text string"), allowMissingColumns=True)
+    left = {r["doc_id"] for r in corpus_pipeline.language_id(spark, mixed, SF).collect()}
+    assert left == {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+
+
+@needs_tables
+def test_language_posteriors_by_hand(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    langs, model = language.train(docs)
+    texts = [r["text"] for r in docs.collect()] + ["zq" * 9, "é", ""]
+    names, scores, fits = language.score(texts, langs, model)
+    for text, name, value, fit in zip(texts, names, scores, fits):
+        grams = language.features([text])[0].ravel()
+        sums = [sum(row[g] for g in grams) + row[-1] for row in model]
+        if name == "und":
+            assert not any(c.isalpha() for c in text) and value == 0 and fit is None
+            continue
+        best = int(np.argmax(sums))
+        assert name == langs[best] and value == pytest.approx(1 / sum(np.exp(s - sums[best]) for s in sums))
+        known = [g for g in grams if g < 1 << language.BITS]
+        assert fit == pytest.approx((sums[best] - model[best][-1]) / len(known) - sum(np.exp(m) * m for m in model[best][:1 << language.BITS]))
