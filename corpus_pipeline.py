@@ -10,15 +10,19 @@ from corvane.llm.common import small_batches, stored, table, unused
 
 LEAST_SCORE = 0.5
 """Posterior of the best language below which a document is rejected."""
+LEAST_FIT = -3.0
+"""Mean log probability of an n-gram, against that of the language's own, below which a document is rejected."""
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or without a language more likely than the others together, go."""
+    """Documents without a letter, without a language more likely than the others together, or whose n-grams
+    are far from those of their language, go."""
     small_batches(spark)
     model = language.train(docs.filter(~language.held_out()))
-    lang, score = unused(docs, "_lang"), unused(docs, "_lang_score")
-    named = language.identify(docs, model, pred_col=lang, score_col=score)
-    return named.filter((F.col(lang) != "und") & (F.col(score) >= LEAST_SCORE)).select(docs.columns)
+    lang, score, fit = (unused(docs, c) for c in ("_lang", "_lang_score", "_lang_fit"))
+    named = language.identify(docs, model, pred_col=lang, score_col=score, fit_col=fit)
+    kept = (F.col(lang) != "und") & (F.col(score) >= LEAST_SCORE) & (F.col(fit) >= LEAST_FIT)
+    return named.filter(kept).select(docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
