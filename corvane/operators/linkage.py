@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -249,20 +249,60 @@ def learned_features(pairs: DataFrame) -> tuple[DataFrame, list[str]]:
     return out, names
 
 
-def fit_matcher(features: DataFrame, names: list[str], path: str | None = None) -> PipelineModel:
-    """Logistic regression over the distances; a saved model at ``path`` is reused."""
-    if path is not None:
-        try:
-            return PipelineModel.load(path)
-        except Exception as missing:  # noqa: BLE001 - the loader has no narrower type
-            if "does not exist" not in str(missing).lower():
-                raise
-    stages = [VectorAssembler(inputCols=names, outputCol="features"),
-              LogisticRegression(featuresCol="features", labelCol=LABEL, regParam=0.01)]
-    model = Pipeline(stages=stages).fit(features)
-    if path is not None:
-        model.save(path)
-    return model
+NEWTON_STEPS = 8
+PENALTY = 0.01
+"""Weight of the squared coefficients in the mean loss; the intercept is free."""
+
+
+def fit_matcher(features: DataFrame, names: list[str], steps: int = NEWTON_STEPS, penalty: float = PENALTY) -> DataFrame:
+    """One row: ``weights`` of a logistic regression over the named columns, the intercept first.
+
+    A Newton step is one pass over ``features`` (which should be kept, as with ``materialise``): a task
+    multiplies its batches out to (d + 1)(d + 2) sums for d columns, these are added up by place and solved by
+    the driver.  The steps are fixed, so the same rows give the same weights on any number of tasks, up to
+    rounding.  A null counts as 0.
+    """
+    size = len(names) + 1
+    rows = features.select(*[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(f"x{i}") for i, n in enumerate(names)],
+                           F.col(LABEL).cast("double").alias("y"))
+    shrink = np.array([0.0] + [penalty] * len(names))
+    weights = np.zeros(size)
+
+    def sums(weights: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((size, size + 1))
+            for batch in batches:
+                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+                x = np.stack([np.ones(batch.num_rows), *columns[:-1]], axis=1)
+                p = 1 / (1 + np.exp(-x @ weights))
+                total[:, :size] += (x * (p * (1 - p))[:, None]).T @ x
+                total[:, size] += x.T @ (columns[-1] - p)
+            yield pa.RecordBatch.from_arrays([pa.array(range(total.size), pa.int32()), pa.array(total.ravel())], ["place", "v"])
+
+        return run
+
+    for step in range(steps):
+        found = rows.mapInArrow(sums(weights), "place int, v double").groupBy("place").agg(F.sum("v").alias("v")).collect()
+        total = np.zeros(size * (size + 1))
+        for place, v in found:  # (d + 1)(d + 2) numbers
+            total[place] = v
+        total = total.reshape(size, size + 1)
+        if not step:
+            count = 4 * total[0, 0]  # p (1 - p) is 1/4 for every row at first
+        if not count:
+            raise ValueError("no row to fit the matcher on")
+        # lstsq: with one label only, the intercept has no finite best value
+        weights = weights + np.linalg.lstsq(total[:, :size] + np.diag(count * shrink), total[:, size] - count * shrink * weights, rcond=None)[0]
+    return features.sparkSession.range(1).select(F.array(*[F.lit(float(w)) for w in weights]).alias("weights"))
+
+
+def save_matcher(model: DataFrame, path: str) -> None:
+    """The fitted weights as a table of one row."""
+    model.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_matcher(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("weights array<double>").parquet(path)
 
 
 def with_verdict(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -272,11 +312,13 @@ def with_verdict(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
             .withColumn("match_confidence", F.when(predicted == 1, p).otherwise(1 - p)))
 
 
-def learned_match(model: PipelineModel, features: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Add probability of a match, predicted label and the confidence in that label."""
-    p = F.get(vector_to_array("probability"), F.lit(1))
-    scored = model.transform(features).withColumn("match_probability", p)
-    return with_verdict(scored, threshold).drop("features", "rawPrediction", "probability", "prediction")
+def learned_match(model: DataFrame, features: DataFrame, names: list[str], threshold: float = 0.5) -> DataFrame:
+    """Add probability of a match, predicted label and the confidence in that label, by fitted weights."""
+    scored = features.join(F.broadcast(model.select(F.col("weights").alias("_w"))))  # one row
+    z = F.get("_w", F.lit(0))
+    for j, name in enumerate(names, start=1):
+        z = z + F.get("_w", F.lit(j)) * F.col(name)
+    return with_verdict(scored.withColumn("match_probability", 1 / (1 + F.exp(-z))), threshold).drop("_w")
 
 
 def weighted_match(features: DataFrame, weights: dict[str, float], intercept: float, threshold: float = 0.5) -> DataFrame:

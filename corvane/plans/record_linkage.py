@@ -8,7 +8,7 @@ from corvane.functions import cleaning, similarity
 from corvane.operators import joins, linkage, ordinals, vectors
 from corvane.plans import sqltext as sql
 from corvane.plans.tables import spread_table, table
-from corvane.session import materialise
+from corvane.session import materialise, private_folder
 
 LEFT, RIGHT, LABEL = linkage.LEFT, linkage.RIGHT, linkage.LABEL
 
@@ -294,19 +294,50 @@ def _learned(spark, sf_dir):
             "manufacturer", "model", "year", "price", "fuel_type", "color", "body_type")]))
 
 
-def pair_lr_match(spark, sf_dir):
-    """Fitted on a balanced sample of the train split; every pair is scored and carries its split."""
+def _written(df, name):
+    """``df`` as a table in the shared folder: the fit reads it once for each step."""
+    path = private_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _fitted(spark, sf_dir):
+    """Features with their split, their names, and weights fitted on a balanced sample of the train split."""
     features, names = _learned(spark, sf_dir)
-    split = materialise(ordinals.split_three(features, list(_IDS)))
-    sample = materialise(ordinals.balanced_sample(split.filter("split = 'train'"), list(_IDS), LABEL))
-    model = linkage.fit_matcher(sample, names)
-    return linkage.learned_match(model, split).select(
-        *_IDS, LABEL, "split", "match_probability", "predicted", "match_confidence")
+    split = _written(ordinals.split_three(features, list(_IDS)), "features")
+    sample = _written(ordinals.balanced_sample(split.filter("split = 'train'"), list(_IDS), LABEL), "sample")
+    return split, names, linkage.fit_matcher(sample, names)
+
+
+def pair_lr_match(spark, sf_dir):
+    """Every pair is scored and carries its split."""
+    split, names, model = _fitted(spark, sf_dir)
+    scored = linkage.learned_match(model, split, names)
+    return _rounded(scored.select(*_IDS, LABEL, "split", "match_probability", F.col("predicted").cast("long").alias("predicted"),
+                                  "match_confidence"), "match_probability", "match_confidence")
 
 
 def pair_lr_eval(spark, sf_dir):
-    return linkage.confusion(pair_lr_match(spark, sf_dir).filter("split = 'test'"), F.col("predicted") == 1,
-                             F.col(LABEL) == 1)
+    split, names, model = _fitted(spark, sf_dir)
+    judged = linkage.learned_match(model, split.filter("split = 'test'"), names)
+    return _rounded(linkage.confusion(judged, F.col("predicted") == 1, F.col(LABEL) == 1), "precision", "recall", "f1")
+
+
+def pair_lr_saved(spark, sf_dir):
+    """A matcher that was fitted on the train split and saved scores the test split after it is loaded again."""
+    split, names, model = _fitted(spark, sf_dir)
+    path = private_folder(spark, "matcher")
+    linkage.save_matcher(model, path)
+    scored = linkage.learned_match(linkage.load_matcher(spark, path), split.filter("split = 'test'"), names)
+    return _rounded(scored.select(*_IDS, "match_probability", F.col("predicted").cast("long").alias("predicted")), "match_probability")
+
+
+def pair_verdicts(spark, sf_dir):
+    """Inputs joined with predictions that were made apart, by the pair's place."""
+    pairs = ordinals.with_shuffle_rank(_pairs(spark, sf_dir).select(*_IDS, "model" + LEFT, "model" + RIGHT, LABEL), list(_IDS), "place")
+    said = ordinals.with_shuffle_rank(linkage.weighted_match(_learned(spark, sf_dir)[0], WEIGHTS, INTERCEPT), list(_IDS), "place")
+    joined = joins.zip_rows(pairs, said.select("place", F.col("predicted").cast("long").alias("predicted")), "place")
+    return joined.withColumn(LABEL, F.col(LABEL).cast("long"))
 
 
 # Weights of the matcher that is not fitted.
@@ -391,7 +422,7 @@ QUERIES = {f.__name__: f for f in (
     page_window, block_keys, soundex_codes, block_b1, block_b2, block_eval, block_sizes,
     pair_features, jaro_winkler_names, pair_rule_match, pair_rule_eval, threshold_curve,
     threshold_best, threshold_verified, best_epoch, best_checkpoint, pair_lr_match, pair_lr_eval,
-    pair_weighted_match,
+    pair_lr_saved, pair_verdicts, pair_weighted_match,
     learned_distances, truth_lookup, unit_normalise, vector_topk, vector_threshold,
     vector_row_topk, vector_row_threshold, text_normalise)}
 
@@ -559,9 +590,51 @@ n AS (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v,
       WHERE list_inner_product(v, v) > 0),
 s AS (SELECT a.vec_id AS left_id, b.vec_id AS right_id, round(list_inner_product(a.v, b.v), 6) AS similarity
       FROM n a CROSS JOIN n b WHERE b.vec_id % 50 = 0)"""
+
+
+def _lr_sql() -> str:
+    """The same Newton steps: ``lr`` has every pair with its split and probability."""
+    names = [f"{kind}_{f}" for f in _DISTANCES for kind in ("dist", "miss")]
+    x = ", ".join(["1.0::DOUBLE", *[f"coalesce({_DISTANCES[n[5:]]}, 0.0)::DOUBLE" if n.startswith("dist") else
+                                    f"CAST(({_DISTANCES[n[5:]]}) IS NULL AS DOUBLE)" for n in names]])
+    size = len(names) + 1
+    key = f"md5('42|' || {_IDS[0]} || '|' || {_IDS[1]}), {_IDS[0]}, {_IDS[1]}"
+    z = lambda w: " + ".join(f"{w}[{j}] * x[{j}]" for j in range(1, size + 1))
+    steps = [f"""fx AS MATERIALIZED (SELECT {', '.join(_IDS)}, model{LEFT}, model{RIGHT}, {LABEL}, [{x}] AS x, count(*) OVER () AS n, row_number() OVER (ORDER BY {key}) AS place FROM pairs)""",
+             "fs AS (SELECT *, CASE WHEN place <= floor(0.7 * n) THEN 'train' WHEN place <= floor(0.7 * n) + floor(0.15 * n) THEN 'valid' ELSE 'test' END AS split FROM fx)",
+             f"""fb AS MATERIALIZED (SELECT x, {LABEL} AS y FROM (SELECT *, count(*) OVER () AS m, row_number() OVER (PARTITION BY {LABEL} ORDER BY {key}) AS r
+                 FROM fs WHERE split = 'train') t WHERE r <= floor(floor(0.3 * m) / 2) + 1)""",
+             f"w0 AS (SELECT list_transform(range({size}), lambda i: 0.0::DOUBLE) AS w)",
+             f"grid AS (SELECT j, k FROM (SELECT unnest(range(1, {size + 1})) AS j) a CROSS JOIN (SELECT unnest(range(1, {size + 2})) AS k) b)"]
+    for t in range(linkage.NEWTON_STEPS):
+        shrink = f"{linkage.PENALTY} * count(*) * (j > 1)::INT"
+        steps += [
+            f"p{t} AS MATERIALIZED (SELECT x, y, w, 1 / (1 + exp(-({z('w')}))) AS p FROM fb CROSS JOIN w{t})",
+            f"""s{t} AS MATERIALIZED (SELECT j, k, CASE WHEN k > {size} THEN sum((y - p) * x[j]) - {shrink} * any_value(w[j])
+                ELSE sum(p * (1 - p) * x[j] * x[k]) + CASE WHEN j = k THEN {shrink} ELSE 0 END END AS v FROM p{t} CROSS JOIN grid GROUP BY j, k)""",
+            f"m{t} AS MATERIALIZED (SELECT list(r ORDER BY j) AS m FROM (SELECT j, list(v ORDER BY k) AS r FROM s{t} GROUP BY j) q)",
+            f"""e{t} AS (SELECT 1 AS k, m FROM m{t} UNION ALL SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k
+                THEN list_transform(r, lambda v: v / m[k][k]) ELSE list_transform(r, lambda v, c: v - r[k] * m[k][c] / m[k][k]) END) FROM e{t} WHERE k <= {size})""",
+            f"w{t + 1} AS MATERIALIZED (SELECT list_transform(w, lambda v, i: v + m[i][{size + 1}]) AS w FROM e{t} CROSS JOIN w{t} WHERE k = {size + 1})"]
+    steps.append(f"lr AS (SELECT * EXCLUDE (x, w, n), 1 / (1 + exp(-({z('w')}))) AS p FROM fs CROSS JOIN w{linkage.NEWTON_STEPS})")
+    return _PAIRS.replace("WITH", "WITH RECURSIVE", 1) + ",\n" + ",\n".join(steps)
+
+
 _TEXT_ID = "CASE WHEN {0} % 9 <> 0 THEN {0} END"
 
+_LR = _lr_sql()
 ORACLES = {
+    "pair_lr_match": f"""{_LR} SELECT {', '.join(_IDS)}, {LABEL}, split, round(p, 6) AS match_probability,
+        CAST(p > 0.5 AS BIGINT) AS predicted, round(greatest(p, 1 - p), 6) AS match_confidence FROM lr""",
+    "pair_lr_eval": f"{_LR}, te AS (SELECT * FROM lr WHERE split = 'test') {_confusion('te', 'p > 0.5')}",
+    "pair_lr_saved": f"""{_LR} SELECT {', '.join(_IDS)}, round(p, 6) AS match_probability,
+        CAST(p > 0.5 AS BIGINT) AS predicted FROM lr WHERE split = 'test'""",
+    "pair_verdicts": f"""{_PAIRS}, z AS (SELECT {', '.join(_IDS)}, model{LEFT}, model{RIGHT}, {LABEL}, 1 / (1 + exp(-({INTERCEPT} {' '.join(
+        f"+ ({w}) * " + (f'coalesce({_DISTANCES[n[5:]]}, 0.0)' if n.startswith('dist') else
+                         f'CAST(({_DISTANCES[n[5:]]}) IS NULL AS INTEGER)')
+        for n, w in WEIGHTS.items())}))) AS p FROM pairs)
+        SELECT * EXCLUDE (p), row_number() OVER (ORDER BY md5('42|' || {_IDS[0]} || '|' || {_IDS[1]})) AS place,
+               CAST(p > 0.5 AS BIGINT) AS predicted FROM z""",
     "align_schema": f"""WITH {_RAW} SELECT k AS p_partkey, {', '.join(_CARD)} FROM ra""",
     "null_threshold": f"{_KEPT} SELECT * FROM ka",
     "row_id_assign": f"""{_KEPT} SELECT _order, CAST(row_number() OVER (ORDER BY _order) - 1 AS BIGINT)

@@ -149,11 +149,22 @@ def test_learned_matcher_saved_and_reused(spark, tmp_path):
                                         f"price{L} double, price{R} double, {linkage.LABEL} int")
     features, names = linkage.learned_features(pairs)
     path = str(tmp_path / "model")
-    first = linkage.learned_match(linkage.fit_matcher(features, names, path), features)
-    again = linkage.learned_match(linkage.fit_matcher(features.limit(0), names, path), features)
+    model = linkage.fit_matcher(features, names)
+    linkage.save_matcher(model, path)
+    first = linkage.learned_match(model, features, names)
+    again = linkage.learned_match(linkage.load_matcher(spark, path), features, names)
     show = lambda d: sorted((r["id"], round(r["match_probability"], 9)) for r in d.collect())
     assert show(first) == show(again)
     assert first.filter("match_confidence < 0.5").count() == 0
+    # at the minimum of the penalised loss the gradient is zero
+    w = np.array(model.first()["weights"])
+    rows = features.select(*names, linkage.LABEL).collect()
+    x = np.array([[1.0, *r[:-1]] for r in rows])
+    p = 1 / (1 + np.exp(-x @ w))
+    gradient = x.T @ (p - np.array([r[-1] for r in rows])) / len(rows) + 0.01 * np.append(0, w[1:])
+    assert np.abs(gradient).max() < 1e-9
+    with pytest.raises(ValueError):
+        linkage.fit_matcher(features.limit(0), names)
 
 
 @pytest.mark.parametrize("how", [{"k": 7}, {"threshold": 0.35}, {"k": 7, "query_bytes": None},
