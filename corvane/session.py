@@ -78,6 +78,11 @@ def private_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def version(spark: SparkSession, path: str) -> tuple[int, int]:
     """Bytes and time of change of a table's folder or file, by the file system that holds it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -17,7 +17,7 @@ ngram_repetition auto_thresholds quality_filter augment_swap augment_append_col
 csv_fields stored_confusion text_files markup_files metadata_files object_list_rows link_map_rows json_lines
 annotation_lines query_set_files pair_lines run_log_lines feed_entries result_pages routed_rows load_counts run_entry
 index_figures index_tables search_tables synthetic_dataset synthetic_counts pair_weighted_match
-threshold_verified""".split()
+threshold_verified pair_lr_saved pair_verdicts""".split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
 
