@@ -288,10 +288,10 @@ def best_checkpoint(spark, sf_dir):
     return _flat(linkage.best_so_far(_series(spark, sf_dir), "run", "step", "f1", "t_f1"))
 
 
-def _learned(spark, sf_dir):
-    return linkage.learned_features(_pairs(spark, sf_dir).select(
+def _learned(spark, sf_dir, kept=lambda pairs: pairs):
+    return linkage.learned_features(kept(_pairs(spark, sf_dir).select(
         *_IDS, LABEL, *[f + s for s in (LEFT, RIGHT) for f in (
-            "manufacturer", "model", "year", "price", "fuel_type", "color", "body_type")]))
+            "manufacturer", "model", "year", "price", "fuel_type", "color", "body_type")])))
 
 
 def _written(df, name):
@@ -303,7 +303,7 @@ def _written(df, name):
 
 def _fitted(spark, sf_dir):
     """Features with their split, their names, and weights fitted on a balanced sample of the train split."""
-    features, names = _learned(spark, sf_dir)
+    features, names = _learned(spark, sf_dir, lambda pairs: _written(pairs, "pairs"))
     split = _written(ordinals.split_three(features, list(_IDS)), "features")
     sample = _written(ordinals.balanced_sample(split.filter("split = 'train'"), list(_IDS), LABEL), "sample")
     return split, names, linkage.fit_matcher(sample, names)
