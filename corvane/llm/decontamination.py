@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,9 +16,15 @@ from corvane.llm.words import MULTIPLIER, NOT_ALNUM, mixed, word_hashes
 
 BLOCK = 16
 """Items under one block maximum."""
+STRETCH = 1 << 20
+"""Characters of a long text that are searched at a time."""
+STEP = 1 << 20
+"""Numbers that the sums of block maxima hold at a time."""
 GRAM = 3
 """Words of the runs that the overlap counts; fewer where a question or an answer is shorter."""
 
+_CUT = re.compile(r"[\x00-/:-@\[-`{-\x7f]")
+
 
 def _runs(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words."""
@@ -48,14 +55,38 @@ class Part:
         return float(np.isin(self.runs, _runs(words, self.size)).mean())
 
 
+@dataclass
+class Statistics:
+    """What scores depend on besides the item: counted over all items, whatever index holds them."""
+
+    items: int
+    mean: float
+    width: int
+    """Words of the longest item."""
+    terms: np.ndarray
+    df: np.ndarray
+
+    @classmethod
+    def of(cls, docs: list[np.ndarray]) -> Statistics:
+        terms, df = np.unique(np.concatenate([*map(np.unique, docs), np.empty(0, np.uint64)]), return_counts=True)
+        lengths = [len(d) for d in docs]
+        return cls(len(docs), float(np.mean(lengths)) if docs else 0.0, max([1, *lengths]), terms, df)
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all given runs, one after the other."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 class Index:
-    """Inverted index of items: term -> items and impacts, with the largest impact per block of items.
+    """Inverted index of items: term -> items and impacts, and term -> blocks of items with the largest impact.
 
     Impacts are BM25 weights divided by the item's own total, so an item scores 1 against itself and
-    one threshold holds for short and long items.
+    one threshold holds for short and long items.  An index may hold a part of the items; ``known``
+    then are the statistics of all.
     """
 
-    def __init__(self, items: list[tuple[int, str, str]], k1: float = 1.2, b: float = 0.75):
+    def __init__(self, items: list[tuple], known: Statistics | None = None, k1: float = 1.2, b: float = 0.75):
         self.ids = [i for i, _, _ in items]
         self.questions, self.answers, docs = [], [], []
         for _, question, answer in items:
@@ -63,33 +94,53 @@ class Index:
             self.questions.append(Part.of(q))
             self.answers.append(Part.of(a))
             docs.append(np.concatenate([q, a]))
-        self.width = max([1, *map(len, docs)])  # words of the longest item
+        known = known or Statistics.of(docs)
+        self.width = known.width
         self.terms = np.unique(np.concatenate([*docs, np.empty(0, np.uint64)]))
         found = [np.unique(np.searchsorted(self.terms, d), return_counts=True) for d in docs]
         term = np.concatenate([t for t, _ in found] or [np.empty(0, np.int64)])
         item = np.repeat(np.arange(len(docs)), [len(t) for t, _ in found])
         tf = np.concatenate([c for _, c in found] or [np.empty(0, np.int64)]).astype(float)
-        df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log(1 + (len(docs) - df + 0.5) / (df + 0.5))
-        length = np.array([len(d) for d in docs], float)
-        norm = k1 * (1 - b + b * length / max(length.mean(), 1)) if len(docs) else length
+        df = known.df[np.searchsorted(known.terms, self.terms)]
+        idf = np.log(1 + (known.items - df + 0.5) / (df + 0.5))
+        norm = k1 * (1 - b + b * np.array([len(d) for d in docs], float) / max(known.mean, 1))
         impact = idf[term] * tf * (k1 + 1) / (tf + norm[item]) if len(term) else tf
         impact /= np.maximum(np.bincount(item, impact, minlength=len(docs)), 1e-12)[item]
         order = np.lexsort((item, term))
-        self.postings, self.impacts = item[order], impact[order]
-        self.starts = np.searchsorted(term[order], np.arange(len(self.terms) + 1))
+        term, self.postings, self.impacts = term[order], item[order], impact[order]
+        self.starts = np.searchsorted(term, np.arange(len(self.terms) + 1))
         self.blocks = -(-len(docs) // BLOCK)
-        self.maxima = np.zeros((len(self.terms), self.blocks), np.float32)
-        np.maximum.at(self.maxima, (term, item // BLOCK), impact.astype(np.float32) * 1.000001)
-
-    def scores(self, terms: np.ndarray, blocks: np.ndarray) -> Iterator[tuple[int, float]]:
-        """Items of the given blocks with their scores for a passage of these distinct terms."""
-        begins, sizes = self.starts[terms], self.starts[terms + 1] - self.starts[terms]
-        at = np.arange(sizes.sum()) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
-        total = np.bincount(self.postings[at], self.impacts[at], minlength=len(self.ids))
-        for block in blocks:
-            for item in range(block * BLOCK, min((block + 1) * BLOCK, len(self.ids))):
-                yield item, total[item]
+        key = term * max(self.blocks, 1) + self.postings // BLOCK
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.block_of = key[first] % max(self.blocks, 1)
+        self.maxima = np.maximum.reduceat(self.impacts, first) * 1.000001 if len(first) else self.impacts
+        self.block_starts = np.searchsorted(key[first] // max(self.blocks, 1), np.arange(len(self.terms) + 1))
+
+    def scores(self, terms: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items of the given blocks (sorted) with their scores for a passage of these distinct terms."""
+        at = _spread(self.starts[terms], self.starts[terms + 1] - self.starts[terms])
+        block = self.postings[at] // BLOCK
+        rank = np.minimum(np.searchsorted(blocks, block), len(blocks) - 1)
+        inside = blocks[rank] == block
+        at, rank = at[inside], rank[inside]
+        total = np.bincount(rank * BLOCK + self.postings[at] % BLOCK, self.impacts[at], minlength=len(blocks) * BLOCK)
+        return (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel(), total
+
+    def _bounds(self, chunk: np.ndarray, term: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Sum of the block maxima over the distinct terms of the chunks ``low`` to ``high``."""
+        a, b = np.searchsorted(chunk, [low, high])
+        chunk, term = chunk[a:b] - low, term[a:b]
+        sizes = self.block_starts[term + 1] - self.block_starts[term]
+        ends = np.cumsum(sizes)
+        out = np.zeros((high - low) * self.blocks)
+        i = 0
+        while i < len(term):
+            j = max(i + 1, int(np.searchsorted(ends, ends[i] - sizes[i] + STEP, side="right")))
+            at = _spread(self.block_starts[term[i:j]], sizes[i:j])
+            key = np.repeat(chunk[i:j] * self.blocks, sizes[i:j]) + self.block_of[at]
+            out += np.bincount(key, self.maxima[at], minlength=len(out))
+            i = j
+        return out.reshape(-1, self.blocks)
 
     def search(self, texts: list[str | None], threshold: float, overlap: float) -> Iterator[tuple]:
         """(text number, item number, score, question overlap, answer overlap) of every item found.
@@ -97,51 +148,65 @@ class Index:
         A passage is two neighbouring chunks, each as long as the longest item: so every occurrence
         of an item lies in some passage whole.  As in block-max WAND, a block of items is left out
         where the sum of its maxima over the passage's terms stays below the threshold; the test is
-        made for all passages and blocks of the batch at once.  In the other blocks all items are
-        scored.
+        made for many passages and all blocks at once.  In the other blocks all items are scored.
+        A text of more than STRETCH characters is searched in stretches that overlap by a passage.
         """
-        words, offsets = word_hashes(texts, NOT_ALNUM)
-        if not len(words) or not len(self.terms):
+        if not len(self.terms):
             return
-        lengths = np.diff(offsets)
-        chunks = -(-lengths // self.width)
+        best: dict[tuple[int, int], tuple] = {}
+        long = [i for i, t in enumerate(texts) if t and len(t) > STRETCH]
+        short = [None if t and len(t) > STRETCH else t for t in texts]
+        self._passages(*word_hashes(short, NOT_ALNUM), np.arange(len(texts)), threshold, overlap, best)
+        for i in long:
+            text, start, words = texts[i].lower(), 0, np.empty(0, np.uint64)
+            while start < len(text):
+                cut = _CUT.search(text, start + STRETCH)
+                end = cut.end() if cut else len(text)
+                words = np.concatenate([words, word_hashes([text[start:end]], NOT_ALNUM, lower=False)[0]])
+                start = end
+                self._passages(words, np.array([0, len(words)]), np.array([i]), threshold, overlap, best)
+                # The next stretch goes on with the last whole chunk, which waits for its neighbour.
+                words = words[max(0, len(words) // self.width - 1) * self.width:]
+        for (i, item), values in sorted(best.items()):
+            yield i, item, *values
+
+    def _passages(self, words: np.ndarray, offsets: np.ndarray, numbers: np.ndarray, threshold: float,
+                  overlap: float, best: dict[tuple[int, int], tuple]) -> None:
+        """Notes the best values of each item that the passages of these texts hold."""
+        if not len(words):
+            return
+        chunks = -(-np.diff(offsets) // self.width)
         first_chunk = np.cumsum(chunks) - chunks
         at = np.searchsorted(self.terms, words)
-        known = self.terms[np.minimum(at, len(self.terms) - 1)] == words
-        place = np.flatnonzero(known)
+        place = np.flatnonzero(self.terms[np.minimum(at, len(self.terms) - 1)] == words)
         text = np.searchsorted(offsets, place, side="right") - 1
         chunk = first_chunk[text] + (place - offsets[text]) // self.width
         pairs = np.unique(chunk * len(self.terms) + at[place])  # distinct terms of each chunk
         chunk, term = pairs // len(self.terms), pairs % len(self.terms)
-        total = int(chunks.sum())
-        begins = np.searchsorted(chunk, np.arange(total + 1))
-        bounds = np.zeros((total + 1, self.blocks), np.float32)
-        filled = np.flatnonzero(begins[1:] > begins[:-1])
-        step = max(1, (1 << 22) // max(self.blocks, 1))  # numbers held at a time
-        low = 0
-        while low < len(filled):
-            high = max(low + 1, int(np.searchsorted(begins[filled + 1], begins[filled[low]] + step, side="right")))
-            part = filled[low:high]
-            a, b = begins[part[0]], begins[part[-1] + 1]
-            bounds[part] = np.add.reduceat(self.maxima[term[a:b]], begins[part] - a, axis=0)
-            low = high
-        owner = np.repeat(np.arange(len(texts)), chunks)
+        owner = np.repeat(np.arange(len(chunks)), chunks)
         same = np.append(owner[1:] == owner[:-1], False)
-        upper = bounds[:-1] + np.where(same[:, None], bounds[1:], 0)
-        best: dict[tuple[int, int], tuple] = {}
-        for c in np.flatnonzero((upper >= threshold).any(axis=1)).tolist():
-            stop = c + 2 if same[c] else c + 1
-            terms = np.unique(term[begins[c]:begins[stop]])
-            i = int(owner[c])
-            a = offsets[i] + (c - first_chunk[i]) * self.width
-            passage = words[a:min(a + 2 * self.width, offsets[i + 1])]
-            for item, score in self.scores(terms, np.flatnonzero(upper[c] >= threshold)):
-                if score >= threshold:
+        begins = np.searchsorted(chunk, np.arange(len(owner) + 1))
+        step = max(1, STEP // self.blocks)
+        for low in range(0, len(owner), step):
+            high = min(low + step, len(owner))
+            bounds = self._bounds(chunk, term, low, min(high + 1, len(owner)))
+            upper = bounds[:high - low].copy()
+            nearby = np.flatnonzero(same[low:high])
+            upper[nearby] += bounds[nearby + 1]
+            for c in np.flatnonzero((upper >= threshold).any(axis=1)).tolist():
+                items, score = self.scores(np.unique(term[begins[low + c]:begins[low + c + 1 + same[low + c]]]),
+                                           np.flatnonzero(upper[c] >= threshold))
+                hits = np.flatnonzero(score >= threshold)
+                if not len(hits):
+                    continue
+                i = int(owner[low + c])
+                a = offsets[i] + (low + c - first_chunk[i]) * self.width
+                passage = words[a:min(a + 2 * self.width, offsets[i + 1])]
+                for item, value in zip(items[hits].tolist(), score[hits].tolist()):
                     q, r = self.questions[item].overlap(passage), self.answers[item].overlap(passage)
                     if q >= overlap and r >= overlap:
-                        best[i, item] = max(best.get((i, item), (0.0, 0.0, 0.0)), (float(score), q, r))
-        for (i, item), values in sorted(best.items()):
-            yield i, item, *values
+                        key = int(numbers[i]), item
+                        best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (value, q, r))
 
 
 def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -154,9 +219,31 @@ def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
                             F.when(several, F.regexp_extract(text, parts, 2)).otherwise("").alias("answer"))
 
 
+def _entries(items: DataFrame, parts_bytes: int) -> tuple[DataFrame, int]:
+    """(key, question, answer, part, words, terms) of the distinct items that have a word, and the number of parts.
+
+    ``terms`` are the hashes of the distinct words.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = [np.concatenate([word_hashes([t], NOT_ALNUM)[0] for t in pair])
+                    for pair in zip(batch.column("question").to_pylist(), batch.column("answer").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([len(w) for w in both], pa.int32()),
+                 pa.array([np.unique(w).view(np.int64) for w in both], pa.list_(pa.int64()))],
+                names=["key", "question", "answer", "words", "terms"])
+
+    rows = items.select("key", "question", "answer").groupBy("key").agg(
+        F.first("question").alias("question"), F.first("answer").alias("answer"))
+    made = stored(rows.mapInArrow(lean(run), "key string, question string, answer string, words int, terms array<long>")
+                  .filter("words > 0"), "items")
+    size = made.agg(F.sum(F.octet_length("question") + F.octet_length("answer"))).first()[0] or 0
+    parts = size // parts_bytes + 1
+    return made.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))), parts
+
+
 def find_items(docs: DataFrame, items: DataFrame, threshold: float = 0.5, overlap: float = 0.5,
-               id_col: str = "doc_id", text_col: str = "text", slice_items: int = 800,
-               slice_bytes: int = 1 << 22) -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", part_bytes: int = 1 << 24) -> DataFrame:
     """(id, item_id, score, question_overlap, answer_overlap) of every document that holds an item.
 
     Every passage of every document is a query against the index of ``items`` (item_id, question,
@@ -164,26 +251,36 @@ def find_items(docs: DataFrame, items: DataFrame, threshold: float = 0.5, overla
     also holds a share of ``overlap`` of the word runs of the question and of the answer.  Words are
     lower-cased runs of letters and digits.
 
-    The index is broadcast.  More items than ``slice_items`` or ``slice_bytes`` are taken in slices
-    of about that size, one pass over the documents each.  Items without a word are never found, a
-    null text holds none, repeated rows each give their rows, and an empty table gives no row.
+    Items with the same question and answer are one entry of the index; each gives its rows.  Number
+    of entries, document frequencies, mean and greatest length are counted once over all of them by
+    Spark.  An index of entries of ``part_bytes`` is broadcast; more are dealt into parts of about
+    that size, with one pass over the documents each.  Scores do not depend on the parts.
+
+    Items without a word are never found, a null text holds none, repeated rows each give their
+    rows, and an empty table gives no row.
     """
     spark = docs.sparkSession
-    filled = items.filter(F.coalesce(F.octet_length("question"), F.lit(0))
-                          + F.coalesce(F.octet_length("answer"), F.lit(0)) > 0)
-    n, size = filled.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.concat_ws("", "question", "answer")))).first()
-    slices = max(n // slice_items, (size or 0) // slice_bytes) + 1
+    question, answer = (F.coalesce(F.col(c), F.lit("")) for c in ("question", "answer"))
+    keyed = items.select("item_id", question.alias("question"), answer.alias("answer"),
+                         F.sha2(F.to_json(F.struct(question.alias("q"), answer.alias("a"))), 256).alias("key"))
+    entries, parts = _entries(keyed, part_bytes)
+    count, mean, width = entries.agg(F.count(F.lit(1)), F.avg("words"), F.max("words")).first()
+    terms = entries.select("part", F.explode("terms").alias("term"))
+    counts = stored(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequencies")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, item_id long, score double, question_overlap double, answer_overlap double"
-    found = None
-    for k in range(slices):
-        part = filled.filter(F.pmod(F.xxhash64("question", "answer"), F.lit(slices)) == k)
-        shared = spark.sparkContext.broadcast(Index(sorted(
-            (tuple(r) for r in part.select("item_id", "question", "answer").collect()),
-            key=lambda r: (r[1] or "", r[2] or "", r[0] is None, r[0]))))
-        hits = rows.mapInArrow(lean(_searcher(shared, threshold, overlap)), schema)
-        found = hits if found is None else found.unionByName(hits)
-    return found.withColumnRenamed("id", id_col)
+    schema = "id long, key string, score double, question_overlap double, answer_overlap double"
+    found = spark.createDataFrame([], schema)
+    for k in range(parts if count else 0):
+        asked = terms.filter(F.col("part") == k).select("term").distinct()
+        df = counts.join(asked, "term", "left_semi").select("term", "df").toArrow()
+        term = df.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(term)
+        known = Statistics(count, mean, width, term[order], df.column("df").to_numpy()[order])
+        part = entries.filter(F.col("part") == k).select("key", "question", "answer")
+        shared = spark.sparkContext.broadcast(Index(sorted(map(tuple, part.collect())), known))
+        found = found.unionByName(rows.mapInArrow(lean(_searcher(shared, threshold, overlap)), schema))
+    return (found.join(keyed.select("key", F.col("item_id").cast("long").alias("item_id")), "key")
+            .select(F.col("id").alias(id_col), "item_id", "score", "question_overlap", "answer_overlap"))
 
 
 def _searcher(shared, threshold: float, overlap: float):
@@ -194,7 +291,7 @@ def _searcher(shared, threshold: float, overlap: float):
             ids = batch.column("id").to_pylist()
             yield pa.RecordBatch.from_pydict({
                 "id": pa.array([ids[h[0]] for h in hits], pa.int64()),
-                "item_id": pa.array([index.ids[h[1]] for h in hits], pa.int64()),
+                "key": pa.array([index.ids[h[1]] for h in hits], pa.string()),
                 **{name: pa.array([h[k] for h in hits], pa.float64())
                    for k, name in ((2, "score"), (3, "question_overlap"), (4, "answer_overlap"))}})
 

@@ -2,12 +2,16 @@
 
 import hashlib
 import itertools
+import math
 import os
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import check_oracle
@@ -283,9 +287,10 @@ def test_decontamination(spark, odd, odd_rows, empty):
             (51, words(100, 15, 4000), "en", "s", 0, "", "", 0)]
     docs = spark.createDataFrame(odd_rows + held, DOCS)
     found = decontamination.items_of(spark.createDataFrame(items, "item_id long, text string"))
-    for slices in (800, 1):
-        got = decontamination.find_items(docs, found, slice_items=slices).collect()
-        assert {(r["doc_id"], r["item_id"]) for r in got} == {(50, 0)}
+    twice = found.unionByName(found.filter("item_id = 0").withColumn("item_id", F.lit(None).cast("long")))
+    for part_bytes in (1 << 24, 150):
+        got = decontamination.find_items(docs, twice, part_bytes=part_bytes).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in got} == {(50, 0), (50, None)} and len(got) == 2
     clean = decontamination.decontaminate(docs, found)
     assert clean.columns == docs.columns and clean.count() == docs.count() - 1
     assert decontamination.find_items(empty, found).count() == 0
@@ -302,6 +307,70 @@ def test_block_maxima_leave_no_item_out():
     assert got == {(t, i) for t, i, *_ in every.search(texts, 0.4, 0.0)} and got
 
 
+def brute_bm25(items, texts, threshold, overlap, k1=1.2, b=0.75):
+    """Scores of all items for all passages, term by term."""
+    split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    docs = {i: split(q) + split(a) for i, q, a in items}
+    docs = {i: d for i, d in docs.items() if d}
+    width, mean = max(map(len, docs.values())), sum(map(len, docs.values())) / len(docs)
+    df = Counter(t for d in docs.values() for t in set(d))
+
+    def weight(t, d):
+        tf = d.count(t)
+        return math.log(1 + (len(docs) - df[t] + 0.5) / (df[t] + 0.5)) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(d) / mean))
+
+    def share(part, passage):
+        n = min(decontamination.GRAM, len(part))
+        runs = lambda w: {tuple(w[j:j + n]) for j in range(len(w) - n + 1)} if n else set()
+        return len(runs(part) & runs(passage)) / len(runs(part)) if part else 1.0
+
+    out = {}
+    for k, text in enumerate(texts):
+        w = split(text)
+        for start in range(0, len(w), width):
+            passage = w[start:start + 2 * width]
+            for i, q, a in items:
+                if i not in docs:
+                    continue
+                weights = {t: weight(t, docs[i]) for t in set(docs[i])}
+                score = sum(v for t, v in weights.items() if t in passage) / sum(weights.values())
+                values = (score, share(split(q), passage), share(split(a), passage))
+                if score >= threshold and min(values[1:]) >= overlap:
+                    out[k, i] = max(out.get((k, i), (0, 0, 0)), values)
+    return out
+
+
+def test_scores_by_hand_whatever_the_parts(spark, monkeypatch):
+    items = [(i, words(i, 8 + i % 9, 300), words(500 + i, i % 5, 300)) for i in range(60)]
+    texts = [words(900 + i, 200, 300) + " " + " ".join(items[i][1].split()[:i % 9]) + " " + items[i][2] + ", "
+             + words(1900 + i, 30 * (i % 3), 300) for i in range(60)] + [None, "", words(3, 40)]
+    want = brute_bm25(items, texts, 0.4, 0.3)
+    assert len(want) > 15
+    for stretch in (1 << 20, 700):
+        monkeypatch.setattr(decontamination, "STRETCH", stretch)
+        got = decontamination.Index(items).search(texts, 0.4, 0.3)
+        assert {h[:2]: pytest.approx(h[2:]) for h in got} == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id long, question string, answer string")
+    for part_bytes in (1 << 24, 700):
+        got = decontamination.find_items(docs, table, 0.4, 0.3, part_bytes=part_bytes).collect()
+        assert {(r[0], r[1]): pytest.approx(tuple(r[2:])) for r in got} == want and len(got) == len(want)
+
+
+def test_packing_hardly_depends_on_the_splits(spark):
+    rows = [(i, words(i, 20 + i * i % 700, 3000), "en", "s", 0, "", "", 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, DOCS)
+    made = {}
+    for splits in (1, 40):
+        got = packing.pack(docs.repartition(splits)).collect()
+        made[splits] = len({r["sequence_id"] for r in got})
+        whole = packing.Bins(1024, len(got))
+        for r in sorted(got, key=lambda r: -r["length"]):
+            whole.place(r["length"])
+        assert made[splits] <= math.ceil(1.005 * whole.opened)
+    assert abs(made[1] - made[40]) <= 1 + 0.005 * made[1]
+
+
 def brute_join(rows):
     sets = []
     for r in rows:
