@@ -14,6 +14,7 @@ from corvane.operators.linkage import LABEL, LEFT, RIGHT
 
 SEGMENT = r"COL (\S+) VAL((?: (?!COL(?: |$))\S+)*+)"
 VALID_SIDE = rf"^(?:{SEGMENT}(?: |$))*+$"
+PARSED = ("label", "left", "right", "attrs", "reason")
 
 
 # --- writing ---------------------------------------------------------------------------------
@@ -66,48 +67,56 @@ def sides_as_json(line: Column) -> Column:
 
 
 # --- reading ---------------------------------------------------------------------------------
+def _cut_part(line: Column, part: int) -> Column:
+    return F.regexp_extract(line, r"(?s)^(.*)(\t)([^\t]*)\t([^\t]*)$", {1: 1, 2: 3, 3: 4}[part])
+
+
 def split_line(line: Column, part: int) -> Column:
     """Part 1, 2 or 3 of a line cut at its last two tabs; null without two tabs."""
-    return F.nullif(F.regexp_extract(
-        line, r"(?s)^(.*)(\t)([^\t]*)\t([^\t]*)$", {1: 1, 2: 3, 3: 4}[part]),
-        F.when(~line.rlike(r"(?s)\t.*\t"), F.lit("")))
+    return F.nullif(_cut_part(line, part), F.when(~line.rlike(r"(?s)\t.*\t"), F.lit("")))
 
 
 def parse_side(side: Column) -> Column:
     """Ordered attr/val structs; null when the side is malformed.  A repeated attribute keeps its
     first place and its last value."""
-    text = cleaning.strip(F.regexp_replace(side, r"\s+", " "))
-    names = F.regexp_extract_all(text, F.lit(SEGMENT), F.lit(1))
-    values = F.transform(F.regexp_extract_all(text, F.lit(SEGMENT), F.lit(2)), lambda v: F.ltrim(v))
-    pairs = F.arrays_zip(names.alias("attr"), values.alias("val"))
-
     def last_values(found: Column) -> Column:
         return F.transform(F.array_distinct(found["attr"]), lambda n: F.struct(
             n.alias("attr"),
             F.element_at(F.filter(found, lambda p: p["attr"] == n), -1)["val"].alias("val")))
 
-    return F.when(text.rlike(VALID_SIDE), let(pairs, last_values))
+    def pairs(text: Column) -> Column:
+        names = F.regexp_extract_all(text, F.lit(SEGMENT), F.lit(1))
+        values = F.transform(F.regexp_extract_all(text, F.lit(SEGMENT), F.lit(2)), lambda v: F.ltrim(v))
+        return F.when(text.rlike(VALID_SIDE), let(F.arrays_zip(names.alias("attr"), values.alias("val")), last_values))
+
+    return let(cleaning.strip(F.regexp_replace(side, r"\s+", " ")), pairs)
 
 
 def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     """Add label, left, right, attrs (attr, v1, v2 in order of appearance) and ``reason`` (null
     for a well-formed line)."""
-    line = F.col(column)
-    out = (lines
-           .withColumn("label", F.trim(split_line(line, 3)).try_cast("int"))
-           .withColumn("left", parse_side(split_line(line, 1)))
-           .withColumn("right", parse_side(split_line(line, 2))))
-    def value(side: str, name: Column) -> Column:
+    def value(side: Column, name: Column) -> Column:
         found = F.get(F.filter(side, lambda x: x["attr"] == name), F.lit(0))["val"]
         return F.coalesce(found, F.lit(""))
 
-    names = F.array_distinct(F.concat(F.col("left.attr"), F.col("right.attr")))
-    attrs = F.transform(names, lambda n: F.struct(
-        n.alias("attr"), value("left", n).alias("v1"), value("right", n).alias("v2")))
-    reason = (F.when(~line.rlike(r"(?s)\t.*\t"), "no_three_fields")
-              .when(F.col("label").isNull(), "bad_label")
-              .when(F.col("left").isNull() | F.col("right").isNull(), "bad_side"))
-    return out.withColumn("attrs", attrs).withColumn("reason", reason)
+    def fields(line: Column, cut: Column) -> Column:
+        return F.struct(cut.alias("whole"), F.when(cut, F.trim(_cut_part(line, 3))).try_cast("int").alias("label"),
+                        F.when(cut, parse_side(_cut_part(line, 1))).alias("left"),
+                        F.when(cut, parse_side(_cut_part(line, 2))).alias("right"))
+
+    def judged(f: Column) -> Column:
+        names = F.array_distinct(F.concat(f["left"]["attr"], f["right"]["attr"]))
+        attrs = F.transform(names, lambda n: F.struct(
+            n.alias("attr"), value(f["left"], n).alias("v1"), value(f["right"], n).alias("v2")))
+        reason = (F.when(~f["whole"], "no_three_fields").when(f["label"].isNull(), "bad_label")
+                  .when(f["left"].isNull() | f["right"].isNull(), "bad_side"))
+        return F.struct(f["label"].alias("label"), f["left"].alias("left"), f["right"].alias("right"),
+                        attrs.alias("attrs"), reason.alias("reason"))
+
+    # A generator: the line is parsed once, and a filter on the outcome is not moved below it, where it would parse again.
+    line = F.col(column)
+    parsed = let(fields(line, line.rlike(r"(?s)\t.*\t")), judged)
+    return lines.select(*[F.col(c) for c in lines.columns if c not in PARSED], F.inline_outer(F.array(parsed)))
 
 
 def attribute_order(parsed: DataFrame, order: str) -> DataFrame:

@@ -151,3 +151,11 @@ def test_synthetic_dataset(spark, ratio, keep, real, made):
     assert sorted(r["position"] for r in rows) == list(range(1, len(rows) + 1))
     assert [sum(r["generation"] == g for r in rows) for g in (0, 1)] == [real, made]
     assert all(r["label"] == 1 and r["parent"] for r in rows if r["generation"])
+
+
+def test_a_line_is_parsed_once_below_a_filter(spark):
+    made = spark.range(3).select("id", F.concat(F.lit("COL a VAL "), F.col("id"), F.lit("\tCOL a VAL 1\t"), F.col("id")).alias("line"))
+    good = pairtext.parse_lines(made).filter("reason IS NULL").select("id", "attrs")
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 2 * 2  # names and values of two sides
+    assert [r["attrs"][0]["v1"] for r in good.orderBy("id").collect()] == ["0", "1", "2"]
