@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +64,14 @@ def _article_row(paper_id: str, root: Element) -> tuple:
     return paper_id, title, summary, authors, published
 
 
+def _article_rows(ids: Iterable[str], markups: Iterable[str | None]) -> Iterator[tuple]:
+    """One tree at a time: those of a whole batch take many times its bytes."""
+    for paper_id, markup in zip(ids, markups):
+        root = parse_xml(markup) if markup else None
+        if root is not None:
+            yield _article_row(paper_id, root)
+
+
 def _child(element: Element | None, name: str) -> Element | None:
     if element is None:
         return None
@@ -75,8 +83,7 @@ def article_metadata(papers: DataFrame) -> DataFrame:
     are the named contributors, published is the year of the first date."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            roots = [(i, parse_xml(m)) for i, m in zip(batch["paper_id"], batch["markup"]) if m]
-            yield pd.DataFrame([_article_row(i, r) for i, r in roots if r is not None],
+            yield pd.DataFrame(_article_rows(batch["paper_id"], batch["markup"]),
                                columns=["paper_id", "title", "summary", "authors", "published"])
 
     rows = papers.select(F.col("paper_id").cast("string"), "markup").mapInPandas(run, ARTICLE)
