@@ -19,7 +19,9 @@ from corvane.llm.words import shingles
 TOKENS = 64
 """Sampled tokens (minima under as many hashes) that stand for a set while it is split."""
 SMALL = 256
-"""Sets in a bucket that is compared by brute force."""
+"""Sets in a bucket that is not split."""
+PART = 2048
+"""Sets of a part of a larger leaf, whose parts are compared two by two."""
 DEPTH = 5
 """Splits of a bucket before it is taken as dense."""
 HEADS = 3
@@ -78,8 +80,8 @@ def leaves(reps: DataFrame, threshold: float, recall: float, seed: int) -> tuple
 
     ``reps``: node, sig.  A path starts in each run and splits its bucket by the tokens it samples:
     every one with probability 1 / (threshold x TOKENS), so a pair at the threshold shares one child
-    on average.  Buckets of up to SMALL sets are leaves, as are those that DEPTH splits leave larger.
-    Singletons end at once.
+    on average.  Buckets of up to SMALL sets are leaves, as are those that DEPTH splits leave larger;
+    all pairs of either are compared.  Singletons end at once.
 
     Before a larger bucket is split, its sets are compared with a few of them, the heads.  Those that
     look similar to one get an edge to it and leave the path, so a group of near copies is not
@@ -123,36 +125,36 @@ def _short(sig: str) -> Column:
 
 
 def candidate_edges(found: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """Edges that hold together the sets of each leaf that look similar; at most one per set and leaf.
+    """Edges that hold together the sets of each leaf that look similar.
 
-    Small leaves are compared by brute force on the sampled tokens.  A dense leaf is compared in
-    parts of about SMALL sets, each with the leaf's least set; members of such a leaf share DEPTH
-    sampled tokens with it, so what is similar meets there.  Estimates pass well below the
+    A leaf is compared by brute force on the sampled tokens.  One of more than SMALL sets is cut into
+    parts of about PART sets by hash, and every two parts meet in a task of their own: all pairs of
+    the leaf are compared, and no task holds more than two parts.  Estimates pass well below the
     threshold; the exact check follows.
     """
-    wide, loose = _marks(threshold)
+    wide, _ = _marks(threshold)
     sketch = reps.select("node", _short("sig").alias("sketch"))
-    rows = found.join(sketch, "node").withColumn("parts", F.ceil(F.col("size") / SMALL).cast("int"))
-    part = F.pmod(F.xxhash64("node", "path"), F.col("parts")).cast("int")
-    members = rows.select("path", part.alias("part"), F.lit(1).alias("other"), "node", "sketch")
-    heads = (rows.filter("parts > 1").groupBy("path", "parts").agg(F.min(F.struct("node", "sketch")).alias("head"))
-             .select("path", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("other"),
-                     "head.node", "head.sketch"))
+    parts = F.when(F.col("size") > SMALL, F.ceil(F.col("size") / PART)).otherwise(1).cast("int")
+    rows = found.join(sketch, "node").withColumn("parts", parts).withColumn(
+        "own", F.pmod(F.xxhash64("node", "path"), F.col("parts")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: (p != F.col("own")) | (F.col("parts") == 1))
+    members = rows.select("path", "own", "node", "sketch", F.explode(others).alias("other")).select(
+        "path", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges: list[tuple[bytes, bytes]] = []
-        for _, bucket in groups(batches, ["path", "part"]):
-            nodes = sorted({r["node"] for r in bucket})  # the same forest in every run, a head first
+        for _, bucket in groups(batches, ["path", "a", "b"]):
+            sketch_of = {r["node"]: r["sketch"] for r in bucket}
+            nodes = sorted(sketch_of)  # the same forest in every run
             if len(nodes) > 1:
-                sketch_of = {r["node"]: r["sketch"] for r in bucket}
                 edges += _linked(nodes, np.frombuffer(b"".join(sketch_of[n] for n in nodes), np.uint8)
-                                 .reshape(-1, TOKENS), wide, loose if bucket[0]["other"] == 0 else wide)
+                                 .reshape(-1, TOKENS), wide)
             if len(edges) > 50_000:
                 yield _pairs(edges)
                 edges = []
         yield _pairs(edges)
 
-    return (members.unionByName(heads).repartition("path", "part").sortWithinPartitions("path", "part", "other")
+    return (members.repartition("path", "a", "b").sortWithinPartitions("path", "a", "b")
             .mapInArrow(lean(run), "u binary, v binary").distinct())
 
 
@@ -161,7 +163,7 @@ def _pairs(edges: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
                                        "v": pa.array([e[1] for e in edges], pa.binary())})
 
 
-def _linked(nodes: list[bytes], sketch: np.ndarray, wide: int, of_first: int) -> list[tuple[bytes, bytes]]:
+def _linked(nodes: list[bytes], sketch: np.ndarray, wide: int) -> list[tuple[bytes, bytes]]:
     """A spanning forest of the sets with enough equal tokens, from the first set on."""
     rest = np.ones(len(nodes), bool)
     edges = []
@@ -173,7 +175,7 @@ def _linked(nodes: list[bytes], sketch: np.ndarray, wide: int, of_first: int) ->
         while queue and rest.any():
             i = queue.pop()
             others = np.flatnonzero(rest)
-            near = others[(sketch[others] == sketch[i]).sum(axis=1) >= (of_first if i == 0 else wide)]
+            near = others[(sketch[others] == sketch[i]).sum(axis=1) >= wide]
             rest[near] = False
             queue += near.tolist()
             edges += [(nodes[i], nodes[j]) for j in near]

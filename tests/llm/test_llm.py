@@ -389,6 +389,19 @@ def brute_join(rows):
     return sorted(((r[0], least[x], len(of)) for r, x, of in zip(rows, label, links)), key=repr)
 
 
+def test_jaccard_leaf_of_many_parts(spark, monkeypatch):
+    """In a leaf above the bound, sets that are unlike its least one still meet, whatever their parts."""
+    monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    monkeypatch.setattr(jaccard_join, "PART", 4, raising=False)
+    draw = random.Random(3)
+    sigs = [[draw.getrandbits(31) for _ in range(jaccard_join.TOKENS)] for _ in range(40)]
+    rows = [(bytes([i, copy]), sig[:60] + [copy] * 4) for i, sig in enumerate(sigs) for copy in (0, 1)]
+    reps = spark.createDataFrame(rows, "node binary, sig array<int>")
+    found = reps.select(F.lit(1).cast("long").alias("path"), "node", F.lit(len(rows)).cast("long").alias("size"))
+    got = {tuple(sorted((bytes(e.u), bytes(e.v)))) for e in jaccard_join.candidate_edges(found, reps, 0.8).collect()}
+    assert got == {(bytes([i, 0]), bytes([i, 1])) for i in range(40)}
+
+
 def test_jaccard_join(spark, odd_rows, empty, monkeypatch):
     """With a group of near copies and one of a shared passage that fill more than a bucket."""
     monkeypatch.setattr(jaccard_join, "SMALL", 16)
