@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions import cleaning
-from corvane.functions.binding import occurrence_runs, token_counts
+from corvane.functions.binding import let, occurrence_runs, token_counts
 from corvane.operators.joins import salted_lookup
 from corvane.operators.pairtext import VOCAB_PATTERN, split_line
 from corvane.session import materialise
@@ -43,11 +43,14 @@ def value_lengths(line: Column, per_value: bool = False) -> Column:
 
 def ngrams(text: Column, n: int) -> Column:
     """n-grams of lower-cased ASCII letters and digits, as one array per text."""
-    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
-    shifted = [F.slice(words, i + 1, F.size(words)) for i in range(n)]
-    zipped = F.arrays_zip(*[s.alias(str(i)) for i, s in enumerate(shifted)])
-    whole = F.slice(zipped, 1, F.greatest(F.size(words) - n + 1, F.lit(0)))
-    return F.transform(whole, lambda z: F.concat_ws(" ", *[z[str(i)] for i in range(n)]))
+    def build(words: Column) -> Column:
+        shifted = [F.slice(words, i + 1, F.size(words)) for i in range(n)]
+        zipped = F.arrays_zip(*[s.alias(str(i)) for i, s in enumerate(shifted)])
+        whole = F.slice(zipped, 1, F.greatest(F.size(words) - n + 1, F.lit(0)))
+        return F.transform(whole, lambda z: F.concat_ws(" ", *[z[str(i)] for i in range(n)]))
+
+    # bound: a text is searched once, not for every use of its words
+    return let(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0)), build)
 
 
 def repetition(text: Column, n: int) -> Column:
@@ -87,12 +90,17 @@ def dictionary_scores(texts: DataFrame, id_col: str, text: Column, frequencies:
     """id, n_words, hit_rate (1 without words), mean_zipf (0 without words); ``frequencies`` should
     be a stored table."""
     words = texts.select(F.col(id_col).alias("id"), alphabetic(text).alias("w"))
-    counted = (words.select("id", F.inline_outer(token_counts(F.col("w")))).filter(F.col("term").isNotNull())
+    return _dictionary_scores(words.select("id", F.size("w").cast("long").alias("n_words"), token_counts(F.col("w")).alias("words")),
+                              frequencies)
+
+
+def _dictionary_scores(texts: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """``dictionary_scores`` of texts whose words are counted: id, n_words, words (term, tf)."""
+    counted = (texts.select("id", F.inline_outer("words")).filter(F.col("term").isNotNull())
                .select("id", F.col("term").alias("word"), F.col("tf").alias("n")))
     found = (salted_lookup(counted, frequencies.filter("zipf > 0"), ["word"], ["id"])
              .groupBy("id").agg(F.sum("n").alias("hits"), F.sum(F.col("n") * F.col("zipf")).alias("z")))
-    sizes = words.select("id", F.size("w").cast("long").alias("n_words"))
-    return (sizes.join(found, "id", "left").select(
+    return (texts.select("id", "n_words").join(found, "id", "left").select(
         "id", "n_words",
         F.when(F.col("n_words") > 0, F.coalesce("hits", F.lit(0)) / F.col("n_words")).otherwise(1.0)
         .alias("hit_rate"),
@@ -100,15 +108,23 @@ def dictionary_scores(texts: DataFrame, id_col: str, text: Column, frequencies:
         .alias("mean_zipf")))
 
 
+def vocabulary_words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(VOCAB_PATTERN), F.lit(0))
+
+
 def tfidf_means(texts: DataFrame, id_col: str, text: Column, fit_on: Column | None = None) -> DataFrame:
     """id, tfidf: mean weight over all vocabulary cells of a text.
 
     Vocabulary: words in two or more fitted texts, the 10,000 most frequent (ties by word); smooth
     idf; every text normalised to length 1.
     """
-    rows = texts.select(F.col(id_col).alias("id"), (fit_on if fit_on is not None else F.lit(True)).alias("fit"),
-                        F.regexp_extract_all(F.lower(text), F.lit(VOCAB_PATTERN), F.lit(0)).alias("w"))
-    counted = (rows.select("id", "fit", F.inline_outer(token_counts(F.col("w"))))
+    return _tfidf_means(texts.select(F.col(id_col).alias("id"), (fit_on if fit_on is not None else F.lit(True)).alias("fit"),
+                                     token_counts(vocabulary_words(text)).alias("cells")))
+
+
+def _tfidf_means(rows: DataFrame) -> DataFrame:
+    """``tfidf_means`` of texts whose words are counted: id, fit, cells (term, tf)."""
+    counted = (rows.select("id", "fit", F.inline_outer("cells"))
                .filter(F.col("term").isNotNull()).withColumnRenamed("term", "word"))
     n = rows.agg(F.count_if("fit")).scalar()
     vocabulary = (counted.filter("fit").groupBy("word")
@@ -139,25 +155,30 @@ class Thresholds:
 
 def line_features(lines: DataFrame, id_col: str, frequencies: DataFrame, options: Thresholds,
                   column: str = "line") -> DataFrame:
-    """Narrow table of per-line measures; the line text is not carried along."""
+    """Narrow table of per-line measures; the line text is not carried along.
+
+    Every line is canonicalised, searched and counted once: measures and word counts are kept, and the
+    scores of words come from the counts."""
     line, text, label = F.col("_line"), F.col("_text"), F.col("label")
     canon = (lines.select(F.col(id_col).alias("id"), cleaning.canonical_line(F.col(column)).alias("_line"))
              .withColumn("_text", full_text(line)).withColumn("label", F.trim(split_line(line, 3))))
     in_scope = label.isNotNull() & ((label == "1") | F.lit(not options.only_label_1))
     basic = (canon.withColumn("repetition", repetition(text, NGRAM))
-             .withColumn("_lengths", value_lengths(line)))
-    lengths = F.col("_lengths")
-    basic = basic.select(
+             .withColumn("_lengths", value_lengths(line)).withColumn("words", token_counts(alphabetic(text)))
+             .withColumn("cells", token_counts(vocabulary_words(text))))
+    lengths, zero = F.col("_lengths"), F.lit(0).cast("long")
+    basic = materialise(basic.select(
         "id", "repetition", "label", in_scope.alias("in_scope"),
         F.coalesce(F.array_max(lengths), F.lit(0)).alias("longest"),
         F.size(lengths).cast("long").alias("n_values"),
-        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("length_sum"),
-        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x * x).alias("length_sq"),
+        F.aggregate(lengths, zero, lambda a, x: a + x).alias("length_sum"),
+        F.aggregate(lengths, zero, lambda a, x: a + x * x).alias("length_sq"),
         text.rlike(CONTROL).alias("control"), unbalanced_brackets(text).alias("unbalanced"),
-        F.md5(line).alias("line_md5"))
-    words = dictionary_scores(canon, "id", text, frequencies)
-    tfidf = tfidf_means(canon, "id", text, F.coalesce(in_scope, F.lit(False)))
-    return basic.join(words, "id").join(tfidf, "id")
+        F.md5(line).alias("line_md5"), "words", "cells",
+        F.coalesce(F.aggregate("words", zero, lambda a, x: a + x["tf"]), zero).alias("n_words")))
+    words = _dictionary_scores(basic.select("id", "n_words", "words"), frequencies)
+    tfidf = _tfidf_means(basic.select("id", F.coalesce("in_scope", F.lit(False)).alias("fit"), "cells"))
+    return basic.drop("words", "cells", "n_words").join(words, "id").join(tfidf, "id")
 
 
 def auto_thresholds(features: DataFrame, options: Thresholds) -> DataFrame:

@@ -159,3 +159,16 @@ def test_a_line_is_parsed_once_below_a_filter(spark):
     plan = good._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 2 * 2  # names and values of two sides
     assert [r["attrs"][0]["v1"] for r in good.orderBy("id").collect()] == ["0", "1", "2"]
+
+
+def test_line_features_search_a_line_once(spark):
+    """Measures and counts of words come from one kept pass over the lines."""
+    lines = spark.createDataFrame([(1, "COL a VAL b c b\tCOL a VAL b d\t1"), (2, "COL a VAL b c\tCOL a VAL x\t0"), (3, None)], "id long, line string")
+    frequencies = spark.createDataFrame([("b", 3.0), ("c", 2.0)], "word string, zipf double")
+    found = quality.line_features(lines, "id", frequencies, quality.Thresholds())
+    text = quality.full_text(quality.cleaning.canonical_line(F.col("line")))
+    scores = quality.dictionary_scores(lines, "id", text, frequencies)
+    columns = ["id", "n_words", "hit_rate", "mean_zipf"]
+    assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, scores.select(columns).collect()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
+    assert "InMemoryRelation" in found._jdf.queryExecution().optimizedPlan().toString() and "regexp_extract_all" not in plan
