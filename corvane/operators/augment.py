@@ -202,7 +202,9 @@ def augment(pairs: DataFrame, id_col: str, text: str, op: str = "all", seed: int
             original = out.withColumn("_before", F.col("_t"))
             variants = None
             for i, name in enumerate(COMBINED):
-                stepped = STEPS[name](original.withColumn("_t", F.col("_before")), seed + turn_no + 1, name)
+                # rows that drew another operation have no tokens here, so a row costs one operation a turn
+                drawn = original.withColumn("_t", F.when(F.col("_op") == i, F.col("_before")))
+                stepped = STEPS[name](drawn, seed + turn_no + 1, name)
                 original = stepped.withColumn(f"_v{i}", F.col("_t"))
                 chosen = F.when(F.col("_op") == i, F.col(f"_v{i}"))
                 variants = chosen if variants is None else F.coalesce(variants, chosen)

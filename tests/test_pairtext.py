@@ -172,3 +172,16 @@ def test_line_features_search_a_line_once(spark):
     assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, scores.select(columns).collect()))
     plan = found._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
     assert "InMemoryRelation" in found._jdf.queryExecution().optimizedPlan().toString() and "regexp_extract_all" not in plan
+
+
+def test_all_runs_only_the_drawn_operation(spark, monkeypatch):
+    """A step of ``all`` sees the tokens of the rows that drew it, and no others."""
+    def spy(name):
+        return lambda df, seed, op: df.withColumn("_t", F.when(F.col("_t").isNotNull(), F.array_append("_t", F.lit(name)))) \
+            .withColumn("_seen", F.col("_seen") + F.col("_t").isNotNull().cast("int"))
+
+    monkeypatch.setattr(augment, "STEPS", {name: spy(name) for name in augment.COMBINED})
+    lines = spark.range(40).select("id", F.lit("COL a VAL b [SEP] COL a VAL c").alias("text"), F.lit(0).alias("_seen"))
+    rows = augment.augment(lines, "id", "text").collect()
+    assert {r["_seen"] for r in rows} == {3}
+    assert all(len(r["text"].split()) == 9 + 3 for r in rows)
