@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = r"[\s\p{Z}]"
+SPACES = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"  # SPACE, spelt out
 
 
 def strip(text: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))  # reads the ends, where a pattern would try every character
 
 
 def blank_to_null(text: Column) -> Column:

@@ -67,13 +67,21 @@ def sides_as_json(line: Column) -> Column:
 
 
 # --- reading ---------------------------------------------------------------------------------
+def _has_two_tabs(line: Column) -> Column:
+    return F.substring_index(line, "\t", 2) != line
+
+
 def _cut_part(line: Column, part: int) -> Column:
-    return F.regexp_extract(line, r"(?s)^(.*)(\t)([^\t]*)\t([^\t]*)$", {1: 1, 2: 3, 3: 4}[part])
+    """Part 1, 2 or 3 of a line with two tabs."""
+    tail = F.substring_index(line, "\t", -2)
+    if part == 1:
+        return F.substring(line, F.lit(1), F.length(line) - F.length(tail) - 1)
+    return F.substring_index(tail, "\t", 1 if part == 2 else -1)
 
 
 def split_line(line: Column, part: int) -> Column:
     """Part 1, 2 or 3 of a line cut at its last two tabs; null without two tabs."""
-    return F.nullif(_cut_part(line, part), F.when(~line.rlike(r"(?s)\t.*\t"), F.lit("")))
+    return F.when(_has_two_tabs(line), _cut_part(line, part))
 
 
 def parse_side(side: Column) -> Column:
@@ -115,7 +123,7 @@ def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
 
     # A generator: the line is parsed once, and a filter on the outcome is not moved below it, where it would parse again.
     line = F.col(column)
-    parsed = let(fields(line, line.rlike(r"(?s)\t.*\t")), judged)
+    parsed = let(fields(line, _has_two_tabs(line)), judged)
     return lines.select(*[F.col(c) for c in lines.columns if c not in PARSED], F.inline_outer(F.array(parsed)))
 
 

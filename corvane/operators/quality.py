@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
+import math
+import re
+import sys
+import unicodedata
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvane.functions import cleaning
-from corvane.functions.binding import let, occurrence_runs, token_counts
+from corvane.functions.binding import let, occurrence_runs
 from corvane.operators.joins import salted_lookup
-from corvane.operators.pairtext import VOCAB_PATTERN, split_line
-from corvane.session import materialise
+from corvane.operators.pairtext import split_line
+from corvane.session import lean, materialise, small_batches
 
 # Sizes and patterns of the quality filter.
 NGRAM = 3            # n-gram size of the repetition statistic
 VOCABULARY = 10_000  # size of the TF-IDF vocabulary, a fixed value: its table may be broadcast
 MIN_DF = 2
+HEAD = 50_000        # words of the frequency list, the most frequent, that the task of a text looks up; all others are joined
+TALLY = 200_000      # distinct words that a task counts before it hands the counts on
 REST_OF_SIDE = r"COL\s+(.+?)\s+VAL\s+([^\t]+)"
 ONE_VALUE = r"COL\s+(.+?)\s+VAL\s+((?:(?!\sCOL\s)[^\t])+)"
 CONTROL = r"[\x00-\x1F\x7F]"
@@ -27,8 +39,10 @@ def full_text(line: Column) -> Column:
 
 
 def unbalanced_brackets(text: Column) -> Column:
+    brackets = F.regexp_replace(text, r"[^()\[\]{}]+", "")  # one search, and little is left to count
+
     def count(ch: str) -> Column:
-        return F.length(text) - F.length(F.replace(text, F.lit(ch), F.lit("")))
+        return F.length(brackets) - F.length(F.replace(brackets, F.lit(ch), F.lit("")))
 
     return (count("(") != count(")")) | (count("[") != count("]")) | (count("{") != count("}"))
 
@@ -73,6 +87,12 @@ def repeats_ngram(lines: DataFrame, id_col: str, n: Column, column: str = "line"
         F.size(F.array_distinct("_g")) < F.size("_g"), F.lit(False)).alias("repeated"))
 
 
+def _in_batches(df: DataFrame, run: Callable, *fields: T.StructField) -> DataFrame:
+    """``run`` over small Arrow batches of ``df``."""
+    small_batches(df.sparkSession)
+    return df.mapInArrow(lean(run), T.StructType(list(fields)))
+
+
 def alphabetic(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
 
@@ -89,27 +109,39 @@ def word_frequencies(texts: DataFrame, column: str) -> DataFrame:
 def dictionary_scores(texts: DataFrame, id_col: str, text: Column, frequencies: DataFrame) -> DataFrame:
     """id, n_words, hit_rate (1 without words), mean_zipf (0 without words); ``frequencies`` should
     be a stored table."""
-    words = texts.select(F.col(id_col).alias("id"), alphabetic(text).alias("w"))
-    return _dictionary_scores(words.select("id", F.size("w").cast("long").alias("n_words"), token_counts(F.col("w")).alias("words")),
-                              frequencies)
+    known = _dictionary(frequencies)
+    read = _read(texts.select(F.col(id_col).alias("id"), F.lower(text).alias("text")), known)
+    return _dictionary_scores(read if known.whole else materialise(read), known).select("id", "n_words", "hit_rate", "mean_zipf")
+
+
+@dataclass
+class _Dictionary:
+    """word, n (its rows), z (the sum of their zipf) of a frequency list, and the first ``HEAD`` words by z."""
+
+    words: DataFrame
+    head: dict[str, tuple[int, float]]
+    whole: bool  # no word lies outside the head
 
 
-def _dictionary_scores(texts: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """``dictionary_scores`` of texts whose words are counted: id, n_words, words (term, tf)."""
-    counted = (texts.select("id", F.inline_outer("words")).filter(F.col("term").isNotNull())
-               .select("id", F.col("term").alias("word"), F.col("tf").alias("n")))
-    found = (salted_lookup(counted, frequencies.filter("zipf > 0"), ["word"], ["id"])
-             .groupBy("id").agg(F.sum("n").alias("hits"), F.sum(F.col("n") * F.col("zipf")).alias("z")))
-    return (texts.select("id", "n_words").join(found, "id", "left").select(
-        "id", "n_words",
-        F.when(F.col("n_words") > 0, F.coalesce("hits", F.lit(0)) / F.col("n_words")).otherwise(1.0)
-        .alias("hit_rate"),
-        F.when(F.col("n_words") > 0, F.coalesce("z", F.lit(0.0)) / F.col("n_words")).otherwise(0.0)
-        .alias("mean_zipf")))
+def _dictionary(frequencies: DataFrame) -> _Dictionary:
+    words = (frequencies.filter("zipf > 0 AND word IS NOT NULL").groupBy("word")
+             .agg(F.count(F.lit(1)).alias("rows"), F.sum("zipf").alias("z")))
+    first = words.orderBy(F.desc("z"), "word").limit(HEAD).toArrow().to_pydict()
+    head = dict(zip(first["word"], zip(first["rows"], first["z"])))
+    return _Dictionary(words, head, len(head) < HEAD)
 
 
-def vocabulary_words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(VOCAB_PATTERN), F.lit(0))
+def _dictionary_scores(read: DataFrame, known: _Dictionary) -> DataFrame:
+    """The texts of ``_read`` with hit_rate and mean_zipf; words outside the head of the dictionary are joined."""
+    hits, z = F.col("hits"), F.col("z")
+    if not known.whole:
+        more = (salted_lookup(read.select("id", F.inline("rest")), known.words, ["word"], ["id"]).groupBy("id")
+                .agg(F.sum(F.col("n") * F.col("rows")).alias("_hits"), F.sum(F.col("n") * F.col("z")).alias("_z")))
+        read = read.join(more, "id", "left")
+        hits, z = hits + F.coalesce("_hits", F.lit(0)), z + F.coalesce("_z", F.lit(0.0))
+    some = F.col("n_words") > 0
+    return read.withColumn("hit_rate", F.when(some, hits / F.col("n_words")).otherwise(1.0)) \
+        .withColumn("mean_zipf", F.when(some, z / F.col("n_words")).otherwise(0.0))
 
 
 def tfidf_means(texts: DataFrame, id_col: str, text: Column, fit_on: Column | None = None) -> DataFrame:
@@ -118,26 +150,134 @@ def tfidf_means(texts: DataFrame, id_col: str, text: Column, fit_on: Column | No
     Vocabulary: words in two or more fitted texts, the 10,000 most frequent (ties by word); smooth
     idf; every text normalised to length 1.
     """
-    return _tfidf_means(texts.select(F.col(id_col).alias("id"), (fit_on if fit_on is not None else F.lit(True)).alias("fit"),
-                                     token_counts(vocabulary_words(text)).alias("cells")))
-
-
-def _tfidf_means(rows: DataFrame) -> DataFrame:
-    """``tfidf_means`` of texts whose words are counted: id, fit, cells (term, tf)."""
-    counted = (rows.select("id", "fit", F.inline_outer("cells"))
-               .filter(F.col("term").isNotNull()).withColumnRenamed("term", "word"))
-    n = rows.agg(F.count_if("fit")).scalar()
-    vocabulary = (counted.filter("fit").groupBy("word")
-                  .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-                  .filter(F.col("df") >= MIN_DF).orderBy(F.desc("total"), "word").limit(VOCABULARY))
-    # at most VOCABULARY rows
-    weights = F.broadcast(vocabulary.select("word", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf")))
-    size = vocabulary.agg(F.count(F.lit(1))).scalar()
-    w = F.col("tf") * F.col("idf")
-    sums = (counted.join(weights, "word").groupBy("id")
-            .agg(F.sum(w).alias("s"), F.sum(w * w).alias("q")))
-    return (rows.select("id").join(sums, "id", "left")
-            .select("id", F.coalesce(F.col("s") / F.sqrt("q") / size, F.lit(0.0)).alias("tfidf")))
+    rows = texts.select(F.col(id_col).alias("id"), (fit_on if fit_on is not None else F.lit(True)).alias("fit"), F.lower(text).alias("text"))
+    return _tfidf_means(rows.select("id", "text"), materialise(_read(rows)))
+
+
+def _tfidf_means(texts: DataFrame, read: DataFrame) -> DataFrame:
+    """``tfidf_means`` of texts in lower case (id, text) with the vocabulary counted by ``_read``."""
+    n = read.agg(F.count_if("fit")).first()[0]
+    vocabulary = (read.filter("word IS NOT NULL").groupBy("word").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+                  .filter(F.col("df") >= MIN_DF).orderBy(F.desc("total"), "word").limit(VOCABULARY).toArrow().to_pydict())
+    size = len(vocabulary["word"])
+    sent = texts.sparkSession.sparkContext.broadcast(
+        {w: math.log((1 + n) / (1 + df)) + 1 for w, df in zip(vocabulary["word"], vocabulary["df"])})  # at most VOCABULARY words
+    word_class = _word_class()
+
+    def mean(words: list[str], idf: dict[str, float]) -> float:
+        cells = [tf * idf[w] for w, tf in Counter(words).items() if w in idf]
+        return sum(cells) / math.sqrt(sum(w * w for w in cells)) / size if cells else 0.0
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            means = [mean(_vocabulary_words(text or "", word_class), sent.value) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(means, pa.float64())], names=["id", "tfidf"])
+
+    return _in_batches(texts, weighed, texts.schema["id"], T.StructField("tfidf", T.DoubleType()))
+
+
+# --- one reading of a text ---------------------------------------------------------------------
+GRAM_WORDS, ALPHABETIC, ASCII_WORDS = re.compile("[a-z0-9]+"), re.compile("[a-z]+"), re.compile("[A-Za-z0-9_]{2,}")
+ABOVE_BMP = re.compile("[\U00010000-\U0010ffff]")
+
+
+@lru_cache
+def _word_class() -> tuple[str, str]:
+    """The words of ``VOCAB_PATTERN`` as patterns of ``re``, which has no classes by name: for texts in the basic
+    plane, which are searched by a bitmap, and for all texts."""
+    def ranges(codes: range) -> str:
+        inside = [c for c in codes if c == ord("_") or unicodedata.category(chr(c))[0] in "LMN"]
+        starts = [c for i, c in enumerate(inside) if not i or c != inside[i - 1] + 1]
+        ends = [c for i, c in enumerate(inside) if i + 1 == len(inside) or c + 1 != inside[i + 1]]
+        return "".join(f"{chr(a)}-{chr(z)}" for a, z in zip(starts, ends))
+
+    basic = ranges(range(0x10000))
+    return f"[{basic}]{{2,}}", f"[{basic}{ranges(range(0x10000, sys.maxunicode + 1))}]{{2,}}"
+
+
+def _vocabulary_words(text: str, word_class: tuple[str, str], gram_words: list[str] | None = None) -> list[str]:
+    """The words of ``VOCAB_PATTERN``; in plain texts these are the ``gram_words``, if given, of two letters or more."""
+    if not text.isascii():
+        return re.findall(word_class[ABOVE_BMP.search(text) is not None], text)
+    if gram_words is None or "_" in text:
+        return ASCII_WORDS.findall(text)
+    return [w for w in gram_words if len(w) > 1]
+
+
+REST = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())]))
+READ = [T.StructField(name, kind) for name, kind in (
+    ("repetition", T.LongType()), ("n_words", T.LongType()), ("hits", T.LongType()), ("z", T.DoubleType()), ("rest", REST),
+    ("word", T.StringType()), ("df", T.LongType()), ("total", T.LongType()))]
+
+
+def _read(texts: DataFrame, known: _Dictionary | None = None) -> DataFrame:
+    """Texts in lower case (``text``), each searched once, with their other columns: ``repetition``, ``n_words``, and
+    with ``known`` hits and z of the words in its head and the ``rest`` of its words.
+
+    With a column ``fit`` also rows of the vocabulary (``word``, its ``df`` and ``total`` in texts that fit): a task
+    hands on what it has counted whenever it holds ``TALLY`` words.
+    """
+    spark, others = texts.sparkSession, [T.StructField(f.name, f.dataType) for f in texts.schema if f.name != "text"]
+    names, fits = [f.name for f in others], "fit" in texts.columns
+    whole = known is None or known.whole
+    sent = spark.sparkContext.broadcast(known.head if known else {})  # at most HEAD words
+    word_class = _word_class()
+    ints, floats, strings = pa.int64(), pa.float64(), pa.string()
+    rest_type = pa.list_(pa.struct([("word", strings), ("n", ints)]))
+
+    def measured(text: str | None, head: dict, rest: dict[str, list]) -> tuple[tuple, list[str]]:
+        if text is None:
+            return (0, None, 0, 0.0), []
+        words = GRAM_WORDS.findall(text)
+        grams = list(zip(*(words[i:] for i in range(NGRAM))))
+        repetition = 1 if len(set(grams)) == len(grams) else max(Counter(grams).values())
+        hits, z, n_words = 0, 0.0, 0
+        for gram_word, n in Counter(words).items():
+            for word in (gram_word,) if gram_word.isalpha() else ALPHABETIC.findall(gram_word):
+                n_words += n
+                found = head.get(word)
+                if found is not None:
+                    hits += n * found[0]
+                    z += n * found[1]
+                elif not whole:
+                    rest["word"].append(word)
+                    rest["n"].append(n)
+        return (repetition if grams else 0, n_words, hits, z), words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, total, types = Counter(), Counter(), []
+
+        def tally() -> pa.RecordBatch:
+            words = list(total)
+            found = [pa.array(words, strings), pa.array([df[w] for w in words], ints), pa.array(total.values(), ints)]
+            empty = [pa.nulls(len(words), t) for t in (*types, ints, ints, ints, floats, rest_type)]
+            df.clear(), total.clear()
+            return pa.RecordBatch.from_arrays([*empty, *found], names=[*names, *(f.name for f in READ)])
+
+        for batch in batches:
+            types, texts = [batch.column(c).type for c in names], batch.column("text").to_pylist()
+            fitted = batch.column("fit").to_pylist() if fits else [False] * len(texts)
+            found, rest, cut = [], {"word": [], "n": []}, [0]
+            for text, fit in zip(texts, fitted):
+                counts, words = measured(text, sent.value, rest)
+                found.append(counts)
+                cut.append(len(rest["n"]))
+                if fit and text is not None:
+                    words = _vocabulary_words(text, word_class, words)
+                    df.update(set(words))
+                    total.update(words)
+                    if len(total) >= TALLY:
+                        yield tally()
+            counts = [pa.array([row[i] for row in found], t) for i, t in enumerate((ints, ints, ints, floats))]
+            words = pa.StructArray.from_arrays([pa.array(rest["word"], strings), pa.array(rest["n"], ints)], ["word", "n"])
+            none = [pa.nulls(len(texts), t) for t in (strings, ints, ints)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), *counts, pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words), *none],
+                names=[*names, *(f.name for f in READ)])
+        if total:
+            yield tally()
+
+    return _in_batches(texts, run, *others, *READ)
 
 
 @dataclass
@@ -157,28 +297,26 @@ def line_features(lines: DataFrame, id_col: str, frequencies: DataFrame, options
                   column: str = "line") -> DataFrame:
     """Narrow table of per-line measures; the line text is not carried along.
 
-    Every line is canonicalised, searched and counted once: measures and word counts are kept, and the
-    scores of words come from the counts."""
+    Every line is searched and counted in one pass, whose measures and counts of the vocabulary are kept; a
+    second pass weighs its words.  No words of a line are kept or dealt, but those outside the head of the dictionary."""
     line, text, label = F.col("_line"), F.col("_text"), F.col("label")
     canon = (lines.select(F.col(id_col).alias("id"), cleaning.canonical_line(F.col(column)).alias("_line"))
              .withColumn("_text", full_text(line)).withColumn("label", F.trim(split_line(line, 3))))
     in_scope = label.isNotNull() & ((label == "1") | F.lit(not options.only_label_1))
-    basic = (canon.withColumn("repetition", repetition(text, NGRAM))
-             .withColumn("_lengths", value_lengths(line)).withColumn("words", token_counts(alphabetic(text)))
-             .withColumn("cells", token_counts(vocabulary_words(text))))
+    basic = canon.withColumn("_lengths", value_lengths(line))
     lengths, zero = F.col("_lengths"), F.lit(0).cast("long")
-    basic = materialise(basic.select(
-        "id", "repetition", "label", in_scope.alias("in_scope"),
+    basic = basic.select(
+        "id", "label", in_scope.alias("in_scope"),
         F.coalesce(F.array_max(lengths), F.lit(0)).alias("longest"),
         F.size(lengths).cast("long").alias("n_values"),
         F.aggregate(lengths, zero, lambda a, x: a + x).alias("length_sum"),
         F.aggregate(lengths, zero, lambda a, x: a + x * x).alias("length_sq"),
         text.rlike(CONTROL).alias("control"), unbalanced_brackets(text).alias("unbalanced"),
-        F.md5(line).alias("line_md5"), "words", "cells",
-        F.coalesce(F.aggregate("words", zero, lambda a, x: a + x["tf"]), zero).alias("n_words")))
-    words = _dictionary_scores(basic.select("id", "n_words", "words"), frequencies)
-    tfidf = _tfidf_means(basic.select("id", F.coalesce("in_scope", F.lit(False)).alias("fit"), "cells"))
-    return basic.drop("words", "cells", "n_words").join(words, "id").join(tfidf, "id")
+        F.md5(line).alias("line_md5"), F.coalesce(in_scope, F.lit(False)).alias("fit"), F.lower(text).alias("text"))
+    known = _dictionary(frequencies)
+    read = materialise(_read(basic, known))
+    measured = _dictionary_scores(read.filter("word IS NULL"), known).drop("fit", "hits", "z", "_hits", "_z", "rest", "word", "df", "total")
+    return measured.join(_tfidf_means(canon.select("id", F.lower(text).alias("text")), read), "id")
 
 
 def auto_thresholds(features: DataFrame, options: Thresholds) -> DataFrame:

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,3 +188,53 @@ def test_all_runs_only_the_drawn_operation(spark, monkeypatch):
     rows = augment.augment(lines, "id", "text").collect()
     assert {r["_seen"] for r in rows} == {3}
     assert all(len(r["text"].split()) == 9 + 3 for r in rows)
+
+
+def test_line_features_keep_no_words(spark, monkeypatch):
+    """What a pass keeps of a line are numbers and words outside the head of the dictionary; with a head of one word
+    and counts handed on after every word the scores stay the same."""
+    lines = spark.createDataFrame([(1, "COL a VAL b c b_1 \u00e9t\u00e9\tCOL a VAL b d2e\t1"), (2, "COL a VAL b c \U00010400x\tCOL a VAL \u00e9t\u00e9\t1"),
+                                   (3, None), (4, "COL a VAL\tCOL\t0")], "id long, line string")
+    words = spark.createDataFrame([("b", 3.0), ("c", 2.0), ("c", 1.5), ("e", 1.0), ("val", 0.0)], "word string, zipf double")
+    options = quality.Thresholds()
+    whole = quality.line_features(lines, "id", words, options)
+    kept = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"\b(cells|words)#", kept)
+    columns = ["id", "repetition", "n_words", F.round("hit_rate", 9).alias("hit_rate"), F.round("mean_zipf", 9).alias("mean_zipf"),
+               F.round("tfidf", 9).alias("tfidf")]
+    expected = sorted(map(tuple, whole.select(columns).collect()))
+    assert [row[3] for row in expected] == [round(6 / 13, 9), 0.3, 1.0, 0.0]
+    monkeypatch.setattr(quality, "HEAD", 1)
+    monkeypatch.setattr(quality, "TALLY", 1)
+    assert sorted(map(tuple, quality.line_features(lines, "id", words, options).select(columns).collect())) == expected
+
+
+def test_vocabulary_words_are_those_of_the_pattern(spark):
+    texts = ["a bc d_e 1 23 \u00e9\u0301t x\u0301", "\U0001d400\U0001d401 \U0001f600 ab\u00a0cd \u2160\u2161 \u4e00\u4e8c", "_ __ 9_", ""]
+    data = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    pattern = F.regexp_extract_all("text", F.lit(pairtext.VOCAB_PATTERN), F.lit(0))
+    found = [r["w"] for r in data.select("id", pattern.alias("w")).orderBy("id").collect()]
+    assert [quality._vocabulary_words(t, quality._word_class()) for t in texts] == found
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 7, 30])
+def test_repeated_ngrams_equal_brute_force(spark, n):
+    """Windows are compared by number; the text of every window of every line is not built."""
+    draw = random.Random(n)
+    rows = [" ".join(draw.choice("ab") for _ in range(draw.randrange(40))) for _ in range(30)] + ["x y " * 20]
+    data = spark.createDataFrame([(i, f"{t}\t{t[:9]}\t1") for i, t in enumerate(rows)], "id long, line string")
+    found = quality.repeats_ngram(data, "id", F.lit(n))
+    assert "array_join(slice" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+    def brute(text):
+        words = f"{text} {text[:9]}".split()
+        grams = [tuple(words[i:i + n]) for i in range(len(words) - n + 1)] if n else []
+        return len(set(grams)) < len(grams)
+    assert [r["repeated"] for r in found.orderBy("id").collect()] == [brute(t) for t in rows]
+
+
+@pytest.mark.parametrize("line", ["a\tb\tc", "\ta\tb\tc\t", "a\tb", "", "\t\t", None, "x\ny\t z\t1\n"])
+def test_a_line_is_cut_at_its_last_two_tabs(spark, line):
+    row = spark.createDataFrame([(line,)], "line string").select(*[pairtext.split_line(F.col("line"), p) for p in (1, 2, 3)]).first()
+    parts = line.rsplit("\t", 2) if line is not None and line.count("\t") > 1 else [None] * 3
+    assert list(row) == parts
