@@ -76,15 +76,38 @@ def repetition(text: Column, n: int) -> Column:
 
 def repeats_ngram(lines: DataFrame, id_col: str, n: Column, column: str = "line") -> DataFrame:
     """id, repeated: whether a line holds some n-gram of size ``n`` twice; never for n = 0."""
-    words = F.regexp_extract_all(F.lower(full_text(cleaning.canonical_line(F.col(column)))),
-                                 F.lit("[a-z0-9]+"), F.lit(0))
-    sized = lines.select(F.col(id_col).alias("id"), words.alias("_w"), n.cast("int").alias("_n"))
-    places = F.when((F.col("_n") > 0) & (F.size("_w") >= F.col("_n")),
-                    F.sequence(F.lit(1), F.size("_w") - F.col("_n") + 1))
-    grams = sized.withColumn("_g", F.transform(
-        places, lambda i: F.array_join(F.slice("_w", i, F.col("_n")), " ")))
-    return grams.select("id", F.coalesce(
-        F.size(F.array_distinct("_g")) < F.size("_g"), F.lit(False)).alias("repeated"))
+    texts = lines.select(F.col(id_col).alias("id"), F.lower(full_text(cleaning.canonical_line(F.col(column)))).alias("text"),
+                         n.cast("int").alias("n"))
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("text").to_pylist(), batch.column("n").to_pylist())
+            found = [_repeats(GRAM_WORDS.findall(text), size or 0) for text, size in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.bool_())], names=["id", "repeated"])
+
+    return _in_batches(texts, judged, texts.schema["id"], T.StructField("repeated", T.BooleanType()))
+
+
+def _repeats(words: list[str], n: int) -> bool:
+    """Whether ``n`` words in a row occur twice.  Windows grow by joining two smaller ones, and windows that
+    are all distinct stay so, however far they grow."""
+    if n < 1 or len(words) <= n:
+        return False
+    size = min(n, NGRAM)
+    windows = list(zip(*(words[i:] for i in range(size))))
+    codes = dict.fromkeys(windows)
+    if len(codes) == len(windows) or size == n:
+        return len(codes) < len(windows)
+    number = {w: i for i, w in enumerate(codes)}
+    code = np.array([number[w] for w in windows], np.int64)
+    while size < n:
+        step = min(size, n - size)
+        pairs = code[:-step] * (int(code.max()) + 1) + code[step:]
+        distinct, code = np.unique(pairs, return_inverse=True)
+        if len(distinct) == len(pairs):
+            return False
+        size += step
+    return True
 
 
 def _in_batches(df: DataFrame, run: Callable, *fields: T.StructField) -> DataFrame:
