@@ -321,3 +321,13 @@ def test_kinds_that_are_not_asked_are_not_read(spark, source):
     some = extraction.extract_objects(papers, source, kinds=("paragraph", "table"))
     assert {r["kind"] for r in every.collect()} == {"paragraph", "figure"}
     assert sorted(map(str, some.collect())) == sorted(map(str, every.filter("kind <> 'figure'").collect()))
+
+
+def test_objects_of_two_sources_are_stored_and_read_in_small_batches(spark):
+    """A task holds a few MB of markup, and no executor keeps the texts of the objects."""
+    from corvane import session
+    from corvane.plans import corpus
+    spark.conf.unset(session.BATCH)
+    rows = corpus.index_tables(spark, "/root/testdata/sf0.001")
+    assert spark.conf.get(session.BATCH) == f"{session.BATCH_BYTES}b"
+    assert "InMemoryRelation" not in rows._jdf.queryExecution().optimizedPlan().toString()
